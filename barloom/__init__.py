@@ -7,6 +7,7 @@ from barloom.operators.cleaning import (
     dedup_ticks,
     drop_incomplete,
     positive_price,
+    valid_ticks,
 )
 from barloom.operators.combine import union_ticks
 from barloom.operators.history import explode_history, history_points, rejected_documents
@@ -30,7 +31,14 @@ from barloom.operators.validation import validate_ticks
 from barloom.plans.ingest import ingest, ticks_of_top_k
 from barloom.plans.load import load_snapshot
 from barloom.plans.report import RunReport
-from barloom.plans.transform import clean_bars, daily_metrics, preview, run_transform
+from barloom.plans.transform import (
+    choose_layout,
+    clean_bars,
+    daily_metrics,
+    densest_bar,
+    preview,
+    run_transform,
+)
 from barloom.session import get_session
 from barloom.sinks.datasets import read_bars, write_bars, write_ticks
 from barloom.sinks.tables import (

@@ -28,6 +28,12 @@ def utc_day(ms: Column | str) -> Column:
 
 
 def epoch_ms(ntz: Column | str) -> Column:
-    """Epoch milliseconds of a UTC wall clock TIMESTAMP_NTZ."""
-    seconds = (_col(ntz) - F.expr(_EPOCH)).cast("interval second").cast("decimal(20,6)")
-    return F.floor(seconds * 1000).cast("long")
+    """Epoch milliseconds of a UTC wall clock TIMESTAMP_NTZ.
+
+    Whole days and the time within the day, both in integers. A thousand times the time
+    of day, taken in seconds, is its milliseconds.
+    """
+    c = _col(ntz)
+    day = c.cast("date")
+    in_day = ((c - day.cast("timestamp_ntz")) * 1000).cast("interval second").cast("long")
+    return F.unix_date(day) * F.lit(MS_PER_DAY).cast("long") + in_day

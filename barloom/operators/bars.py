@@ -21,9 +21,11 @@ def daily_bars(ticks: DataFrame) -> DataFrame:
 
     Open and close are the prices at the first and last instant of the day.
     All buffers are fixed width, so this is a hash aggregate with a partial step:
-    a day or a series of any size leaves each task as one row.
+    a day or a series of any size leaves each task as one row. A `date` column at hand
+    is taken as it is, so that ticks partitioned by (crypto_id, date) stay in place.
     """
-    return ticks.groupBy("crypto_id", utc_day("timestamp").alias("date")).agg(
+    day = F.col("date") if "date" in ticks.columns else utc_day("timestamp").alias("date")
+    return ticks.groupBy("crypto_id", day).agg(
         F.min_by("price", "timestamp").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),

@@ -31,16 +31,17 @@ def positive_price(ticks: DataFrame) -> DataFrame:
     return ticks.filter(F.col("price") > 0)
 
 
-def dedup_ticks(ticks: DataFrame) -> DataFrame:
+def dedup_ticks(ticks: DataFrame, key: Sequence[str] = TICK_KEY) -> DataFrame:
     """One row per (timestamp, crypto_id): highest price, then volume, then market cap.
 
     The rank-1 filter becomes a group limit on both sides of the one shuffle, so
-    a key copied any number of times leaves each task at most once.
+    a key copied any number of times leaves each task at most once. `key` may be
+    widened by columns that follow from the tick key, to suit a partitioning at hand.
     """
     ranked = ["price", "volume", "market_cap"]
-    rest = [c for c in ticks.columns if c not in ranked and c not in TICK_KEY]
+    rest = [c for c in ticks.columns if c not in ranked and c not in key]
     order = [F.col(c).desc_nulls_last() for c in ranked + rest if c in ticks.columns]
-    best = Window.partitionBy(*TICK_KEY).orderBy(*order)
+    best = Window.partitionBy(*key).orderBy(*order)
     return (
         ticks.withColumn("_rank", F.row_number().over(best))
         .filter(F.col("_rank") == 1)
@@ -48,13 +49,18 @@ def dedup_ticks(ticks: DataFrame) -> DataFrame:
     )
 
 
+def valid_ticks(ticks: DataFrame) -> DataFrame:
+    """Complete rows with a positive price."""
+    return positive_price(drop_incomplete(ticks))
+
+
 def clean_ticks(ticks: DataFrame) -> DataFrame:
     """Complete rows with a positive price, one per key.
 
     The row filters come first: they reach the scan, and a key whose copies
     include an invalid one keeps its best valid copy.
     """
-    return dedup_ticks(positive_price(drop_incomplete(ticks)))
+    return dedup_ticks(valid_ticks(ticks))
 
 
 def cleaning_report(ticks: DataFrame) -> DataFrame:

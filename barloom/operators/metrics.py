@@ -1,9 +1,9 @@
 """Per-series metrics over daily bars.
 
 Each function takes `calendar`: False counts bars (a window of 7 is 7 bars), True
-counts days (a window of 7 is 7 calendar days, gaps included). All of them use the
-same partitioning and order, so a chain of them plans as one shuffle, one sort and
-one Window node.
+counts days (a window of 7 is 7 calendar days, gaps included). All windows share one
+partitioning and order, and `add_metrics` asks for all of them at once, so they plan as
+one shuffle, one sort and one Window node.
 
 A series has at most one bar a day, hence a window partition is bounded by the
 calendar (about 36,500 rows a century) and not by the number of ticks.
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from barloom.functions.numeric import pct_change
 
+_HELPERS = ("prev_close", "close_7d_ago")
+
 
 def _series(calendar: bool) -> WindowSpec:
     order = F.unix_date("date") if calendar else F.col("date")
@@ -27,6 +29,12 @@ def _trailing(n: int, calendar: bool) -> WindowSpec:
     return w.rangeBetween(1 - n, 0) if calendar else w.rowsBetween(1 - n, 0)
 
 
+def _averages(calendar: bool) -> dict[str, Column]:
+    return {
+        f"ma_{n}d": F.round(F.avg("close").over(_trailing(n, calendar)), 2) for n in (7, 30)
+    }
+
+
 def _close_before(n: int, calendar: bool) -> Column:
     """The close `n` bars (or days) ago; null if there is none."""
     if calendar:
@@ -34,36 +42,44 @@ def _close_before(n: int, calendar: bool) -> Column:
     return F.lag("close", n).over(_series(False))
 
 
+def _lags(calendar: bool) -> dict[str, Column]:
+    return {name: _close_before(n, calendar) for name, n in zip(_HELPERS, (1, 7))}
+
+
+def _changes() -> dict[str, Column]:
+    close = F.col("close")
+    return {
+        "change_1d_pct": pct_change(close, F.col("prev_close")),
+        "change_7d_pct": pct_change(close, F.col("close_7d_ago")),
+    }
+
+
+def _spread(calendar: bool) -> dict[str, Column]:
+    return {"volatility_7d": F.round(F.stddev_samp("close").over(_trailing(7, calendar)), 2)}
+
+
 def moving_averages(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add `ma_7d`, `ma_30d`: mean close, shorter windows at the start of a series."""
-    return bars.withColumns({
-        f"ma_{n}d": F.round(F.avg("close").over(_trailing(n, calendar)), 2) for n in (7, 30)
-    })
+    return bars.withColumns(_averages(calendar))
 
 
 def lagged_closes(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add `prev_close` and `close_7d_ago`."""
-    return bars.withColumns({
-        "prev_close": _close_before(1, calendar),
-        "close_7d_ago": _close_before(7, calendar),
-    })
+    return bars.withColumns(_lags(calendar))
 
 
 def price_changes(bars: DataFrame, calendar: bool = False) -> DataFrame:
-    """Add `change_1d_pct` and `change_7d_pct`."""
-    close = F.col("close")
-    return lagged_closes(bars, calendar).withColumns({
-        "change_1d_pct": pct_change(close, F.col("prev_close")),
-        "change_7d_pct": pct_change(close, F.col("close_7d_ago")),
-    }).drop("prev_close", "close_7d_ago")
+    """Add `change_1d_pct` and `change_7d_pct`; null without an earlier close."""
+    return lagged_closes(bars, calendar).withColumns(_changes()).drop(*_HELPERS)
 
 
 def volatility(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add `volatility_7d`: sample standard deviation of the close; null on a single bar."""
-    spread = F.stddev_samp("close").over(_trailing(7, calendar))
-    return bars.withColumn("volatility_7d", F.round(spread, 2))
+    return bars.withColumns(_spread(calendar))
 
 
 def add_metrics(bars: DataFrame, calendar: bool = False) -> DataFrame:
-    """All of the above."""
-    return volatility(price_changes(moving_averages(bars, calendar), calendar), calendar)
+    """Add the columns of `moving_averages`, `price_changes` and `volatility`."""
+    averages, changes, spread = _averages(calendar), _changes(), _spread(calendar)
+    windowed = bars.withColumns({**averages, **_lags(calendar), **spread})
+    return windowed.withColumns(changes).select(*bars.columns, *averages, *changes, *spread)

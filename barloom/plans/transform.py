@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from barloom.functions.time import utc_day
 from barloom.operators.bars import daily_bars
-from barloom.operators.cleaning import clean_ticks, drop_incomplete, positive_price
+from barloom.operators.cleaning import clean_ticks, dedup_ticks, valid_ticks
 from barloom.operators.metrics import add_metrics
 from barloom.plans.report import RunReport
 from barloom.sinks.datasets import write_bars
@@ -13,29 +15,60 @@ from barloom.sources.snapshots import read_legacy_ticks, read_ticks
 
 PREVIEW = ("crypto_id", "date", "close", "ma_7d", "change_1d_pct", "volatility_7d")
 
+# How the ticks of a run are shuffled.
+#   "spread"   by (timestamp, crypto_id), each task sending one copy of a key. No series,
+#              day or group of copies can overload a task. Where bars far outnumber the
+#              rows of a task, partial bars are about as many as ticks, and a second
+#              shuffle of that size follows.
+#   "by_bar"   by (crypto_id, date). Ticks are shuffled once and rolled up where they
+#              land; all copies of a bar's ticks meet in one task.
+#   "unique"   not at all, partial bars only. A promise that no (crypto_id, timestamp)
+#              occurs twice, as in a table loaded with `on_conflict="skip"`.
+LAYOUTS = ("spread", "by_bar", "unique")
 
-def clean_bars(ticks: DataFrame, unique_keys: bool = False) -> DataFrame:
+# Rows of one bar a task takes without ado (some 300 MB).
+ROWS_PER_TASK = 5_000_000
+
+
+def densest_bar(ticks: DataFrame) -> DataFrame:
+    """One row: the number of raw rows behind the bar that has the most.
+
+    Reads two columns and shuffles counts.
+    """
+    per_bar = ticks.groupBy("crypto_id", utc_day("timestamp").alias("date")).count()
+    return per_bar.agg(F.coalesce(F.max("count"), F.lit(0)).alias("rows"))
+
+
+def choose_layout(ticks: DataFrame) -> str:
+    """"by_bar" if every bar is proven small enough for it, else "spread". Runs a count."""
+    return "by_bar" if densest_bar(ticks).first()["rows"] <= ROWS_PER_TASK else "spread"
+
+
+def clean_bars(ticks: DataFrame, layout: str = "spread") -> DataFrame:
     """Clean, then roll up to daily bars.
 
-    Only the five columns the bars need are read and shuffled. `unique_keys=True` is a
-    promise that no (crypto_id, timestamp) occurs twice, as in a table loaded with
-    `on_conflict="skip"`: the shuffle of the ticks then falls away, and what is left
-    shuffles bars only.
+    Only the five columns the bars need are read and shuffled. All layouts give the
+    same bars.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout is one of {LAYOUTS}, not {layout!r}")
     needed = ticks.select("timestamp", "crypto_id", "price", "volume", "market_cap")
-    if unique_keys:
-        return daily_bars(positive_price(drop_incomplete(needed)))
-    return daily_bars(clean_ticks(needed))
+    if layout == "spread":
+        return daily_bars(clean_ticks(needed))
+    if layout == "unique":
+        return daily_bars(valid_ticks(needed))
+    dated = valid_ticks(needed).withColumn("date", utc_day("timestamp"))
+    in_place = dated.repartition("crypto_id", "date")
+    return daily_bars(dedup_ticks(in_place, ("crypto_id", "date", "timestamp")))
 
 
-def daily_metrics(ticks: DataFrame, unique_keys: bool = False, calendar: bool = False) -> DataFrame:
+def daily_metrics(ticks: DataFrame, layout: str = "spread", calendar: bool = False) -> DataFrame:
     """Clean, roll up to daily bars, add all metrics. One lazy plan.
 
-    Its shuffles: the ticks once, by (timestamp, crypto_id), each task sending one copy
-    of a key; then partial bars, by (crypto_id, date); then bars, by crypto_id. Only the
-    first grows with the ticks, and its key is spread whatever the size of a series.
+    After the ticks (see `LAYOUTS`) only bars are shuffled, by crypto_id; a series has at
+    most one a day.
     """
-    return add_metrics(clean_bars(ticks, unique_keys), calendar)
+    return add_metrics(clean_bars(ticks, layout), calendar)
 
 
 def preview(metrics: DataFrame, rows: int = 15) -> DataFrame:
@@ -44,16 +77,16 @@ def preview(metrics: DataFrame, rows: int = 15) -> DataFrame:
 
 
 def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_date: str,
-                  date: str | None = None, legacy: bool = False, unique_keys: bool = False,
-                  calendar: bool = False) -> RunReport:
+                  date: str | None = None, legacy: bool = False, layout: str | None = None,
+                  calendar: bool = False, ordered: bool = False) -> RunReport:
     """Read a snapshot, write its daily metrics, report.
 
-    The raw count is read from the Parquet footers; the others come with the write.
+    Without a `layout` the densest bar is counted first, and decides. The raw count is read from the Parquet footers; the others come with the write.
     """
     read = read_legacy_ticks if legacy else read_ticks
     raw = read(spark, raw_root, date)
-    metrics = daily_metrics(raw, unique_keys, calendar)
-    path, bars, ticks = write_bars(metrics, out_root, run_date)
+    metrics = daily_metrics(raw, layout or choose_layout(raw), calendar)
+    path, bars, ticks = write_bars(metrics, out_root, run_date, ordered)
     loaded = raw.count()
     counts = {"raw": loaded, "removed": loaded - ticks, "clean": ticks, "bars": bars}
     return RunReport({"daily_prices": path}, counts)

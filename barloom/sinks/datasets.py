@@ -45,11 +45,12 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
 
 
 def write_bars(bars: DataFrame, root: str, run_date: str,
-               ordered: bool = True) -> tuple[str, int, int]:
+               ordered: bool = False) -> tuple[str, int, int]:
     """Write the bars of a run, replacing an earlier one; returns (path, bars, ticks).
 
-    `ordered` lays the files out by (crypto_id, date), which costs a shuffle of the
-    bars (not of the ticks).
+    Metrics arrive with each series whole and sorted by date, and are written like that.
+    `ordered` sorts the dataset as a whole by (crypto_id, date) instead. It costs a
+    shuffle of the bars (not of the ticks), and a second pass over them for its ranges.
     """
     path = f"{root}/{RUN_PARTITION}={run_date}"
     out = bars

@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cents(c: str) -> Column:
-    return F.round(F.col(c) * 100)
+    return F.floor(F.col(c) * 100 + 0.5).cast("double")
 
 
 def props_number() -> Column:

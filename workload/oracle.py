@@ -216,7 +216,12 @@ ORACLE: dict[str, str] = {
         FROM bars b JOIN (
             SELECT crypto_id, date, {CAL_MA}, {CHANGES}, {CAL_VOLATILITY} FROM calendar) c
         ON c.crypto_id = b.crypto_id AND c.date = b.date""",
-    "unique_key_metrics": _metrics(BY_USER),
+    "daily_metrics_unique_keys": _metrics(BY_USER),
+    "daily_metrics_in_place": _DIRTY_METRICS,
+    "daily_metrics_by_part_in_place": _metrics(BY_PART),
+    "densest_bar": f"""WITH {DIRTY}, counted AS (
+        SELECT count(*) AS n FROM ticks GROUP BY crypto_id, {DAY})
+        SELECT max(n) AS rows FROM counted""",
     "metrics_preview": f"""SELECT crypto_id, date, close, ma_7d, change_1d_pct, volatility_7d
         FROM ({_metrics(BY_USER)}) ORDER BY crypto_id, date LIMIT 15""",
     "explode_history": _EXPLODED,

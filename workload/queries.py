@@ -153,9 +153,24 @@ def calendar_metrics_by_part(spark, sf):
 
 
 @_query
-def unique_key_metrics(spark, sf):
+def daily_metrics_unique_keys(spark, sf):
     # The events have one row per user and instant, so the promise holds.
-    return b.daily_metrics(a.ticks_by_user(spark, sf), unique_keys=True)
+    return b.daily_metrics(a.ticks_by_user(spark, sf), "unique")
+
+
+@_query
+def daily_metrics_in_place(spark, sf):
+    return b.daily_metrics(a.dirty_ticks(spark, sf), "by_bar")
+
+
+@_query
+def daily_metrics_by_part_in_place(spark, sf):
+    return b.daily_metrics(a.ticks_by_part(spark, sf), "by_bar")
+
+
+@_query
+def densest_bar(spark, sf):
+    return b.densest_bar(a.dirty_ticks(spark, sf))
 
 
 @_query
@@ -346,16 +361,16 @@ def ingest_top_k(spark, sf):
     return b.read_ticks(spark, root).select(*TICK)
 
 
-def _run(spark, sf):
+def _run(spark, sf, **options):
     root = scratch_folder(spark)
     raw, out = f"{root}/raw", f"{root}/processed"
     b.write_ticks(a.dirty_ticks(spark, sf), raw, LATEST)
-    return out, b.run_transform(spark, raw, out, LATEST)
+    return out, b.run_transform(spark, raw, out, LATEST, **options)
 
 
 @_query
 def written_bars(spark, sf):
-    out, _ = _run(spark, sf)
+    out, _ = _run(spark, sf, ordered=True)
     return b.read_bars(spark, out, LATEST, METRICS)
 
 
