@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.numeric import half_up
 from barloom.functions.time import utc_datetime, utc_day
 
 
@@ -31,7 +32,7 @@ def daily_bars(ticks: DataFrame) -> DataFrame:
         F.min("price").alias("low"),
         F.max_by("price", "timestamp").alias("close"),
         F.sum("volume").alias("volume"),
-        F.round(F.avg("market_cap"), 0).alias("market_cap"),
+        half_up(F.avg("market_cap"), 0).alias("market_cap"),
         F.count(F.lit(1)).alias("data_points"),
     )
 

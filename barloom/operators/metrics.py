@@ -14,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barloom.functions.numeric import pct_change
+from barloom.functions.numeric import half_up, pct_change
 
-_HELPERS = ("prev_close", "close_7d_ago")
+# Rounded once the window has them.
+_ROUNDED = ("ma_7d", "ma_30d", "volatility_7d")
+_LAGGED = ("prev_close", "close_7d_ago")
 
 
 def _series(calendar: bool) -> WindowSpec:
@@ -29,12 +31,6 @@ def _trailing(n: int, calendar: bool) -> WindowSpec:
     return w.rangeBetween(1 - n, 0) if calendar else w.rowsBetween(1 - n, 0)
 
 
-def _averages(calendar: bool) -> dict[str, Column]:
-    return {
-        f"ma_{n}d": F.round(F.avg("close").over(_trailing(n, calendar)), 2) for n in (7, 30)
-    }
-
-
 def _close_before(n: int, calendar: bool) -> Column:
     """The close `n` bars (or days) ago; null if there is none."""
     if calendar:
@@ -42,8 +38,16 @@ def _close_before(n: int, calendar: bool) -> Column:
     return F.lag("close", n).over(_series(False))
 
 
+def _averages(calendar: bool) -> dict[str, Column]:
+    return {f"ma_{n}d": F.avg("close").over(_trailing(n, calendar)) for n in (7, 30)}
+
+
 def _lags(calendar: bool) -> dict[str, Column]:
-    return {name: _close_before(n, calendar) for name, n in zip(_HELPERS, (1, 7))}
+    return {name: _close_before(n, calendar) for name, n in zip(_LAGGED, (1, 7))}
+
+
+def _spread(calendar: bool) -> dict[str, Column]:
+    return {"volatility_7d": F.stddev_samp("close").over(_trailing(7, calendar))}
 
 
 def _changes() -> dict[str, Column]:
@@ -54,13 +58,14 @@ def _changes() -> dict[str, Column]:
     }
 
 
-def _spread(calendar: bool) -> dict[str, Column]:
-    return {"volatility_7d": F.round(F.stddev_samp("close").over(_trailing(7, calendar)), 2)}
+def _rounded(windowed: DataFrame) -> DataFrame:
+    names = [c for c in _ROUNDED if c in windowed.columns]
+    return windowed.withColumns({c: half_up(F.col(c), 2) for c in names})
 
 
 def moving_averages(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add `ma_7d`, `ma_30d`: mean close, shorter windows at the start of a series."""
-    return bars.withColumns(_averages(calendar))
+    return _rounded(bars.withColumns(_averages(calendar)))
 
 
 def lagged_closes(bars: DataFrame, calendar: bool = False) -> DataFrame:
@@ -70,16 +75,18 @@ def lagged_closes(bars: DataFrame, calendar: bool = False) -> DataFrame:
 
 def price_changes(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add `change_1d_pct` and `change_7d_pct`; null without an earlier close."""
-    return lagged_closes(bars, calendar).withColumns(_changes()).drop(*_HELPERS)
+    return lagged_closes(bars, calendar).withColumns(_changes()).drop(*_LAGGED)
 
 
 def volatility(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add `volatility_7d`: sample standard deviation of the close; null on a single bar."""
-    return bars.withColumns(_spread(calendar))
+    return _rounded(bars.withColumns(_spread(calendar)))
 
 
 def add_metrics(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add the columns of `moving_averages`, `price_changes` and `volatility`."""
-    averages, changes, spread = _averages(calendar), _changes(), _spread(calendar)
+    averages, spread = _averages(calendar), _spread(calendar)
     windowed = bars.withColumns({**averages, **_lags(calendar), **spread})
-    return windowed.withColumns(changes).select(*bars.columns, *averages, *changes, *spread)
+    changes = _changes()
+    return _rounded(windowed.withColumns(changes)).select(
+        *bars.columns, *averages, *changes, *spread)
