@@ -1,10 +1,9 @@
-"""Numeric expressions that do not raise under ANSI mode."""
+"""Numeric expressions that do not raise under ANSI mode.
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+They take and give SQL text: one expression, one call from Python to the JVM.
+"""
 
+from __future__ import annotations
 
 # How far from a tie, in units of the last digit, the quick way of `half_up` keeps, and
 # up to which size its product is that exact.
@@ -12,27 +11,28 @@ _TIE = 1e-3
 _EXACT = 1e11
 
 
-def half_up(x: Column, digits: int) -> Column:
+def half_up(x: str, digits: int) -> str:
     """`round(x, digits)`, quicker.
 
     `round` goes through the decimal text of a double. That text matters only near a
     tie; elsewhere the nearest multiple is the same and comes from plain arithmetic.
-    `x` is used several times over: give it a column, not a window.
+    `x` is used several times over: give it a column or an aggregate, not a window.
     """
-    scaled = x * F.lit(float(10 ** digits))
-    clear = F.abs(scaled - F.floor(scaled) - 0.5) > _TIE
-    quick = F.floor(scaled + 0.5) / F.lit(float(10 ** digits))
-    return F.when(clear & (F.abs(scaled) < _EXACT), quick).otherwise(F.round(x, digits))
+    unit = f"{10 ** digits}D"
+    scaled = f"(({x}) * {unit})"
+    return (
+        f"CASE WHEN abs({scaled} - floor({scaled}) - 0.5D) > {_TIE}D"
+        f" AND abs({scaled}) < {_EXACT:.0f}D"
+        f" THEN floor({scaled} + 0.5D) / {unit} ELSE round({x}, {digits}) END")
 
 
-def pct_change(now: Column, before: Column) -> Column:
+def pct_change(now: str, before: str) -> str:
     """Change in percent, two decimals; null where `before` is null or zero."""
-    return half_up(F.try_divide(now - before, before) * 100, 2)
+    return half_up(f"try_divide({now} - {before}, {before}) * 100", 2)
 
 
-def present(df_types: dict, name: str) -> Column:
+def present(name: str, sql_type: str) -> str:
     """Not null and, for floating columns, not NaN."""
-    c = F.col(name)
-    if df_types[name] in ("double", "float"):
-        return c.isNotNull() & ~F.isnan(c)
-    return c.isNotNull()
+    if sql_type in ("double", "float"):
+        return f"`{name}` IS NOT NULL AND NOT isnan(`{name}`)"
+    return f"`{name}` IS NOT NULL"

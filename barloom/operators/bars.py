@@ -32,7 +32,7 @@ def daily_bars(ticks: DataFrame) -> DataFrame:
         F.min("price").alias("low"),
         F.max_by("price", "timestamp").alias("close"),
         F.sum("volume").alias("volume"),
-        half_up(F.avg("market_cap"), 0).alias("market_cap"),
+        F.expr(half_up("avg(market_cap)", 0)).alias("market_cap"),
         F.count(F.lit(1)).alias("data_points"),
     )
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,9 +11,9 @@ from barloom.functions.numeric import present
 from barloom.schema import CRITICAL, TICK_KEY
 
 
-def _complete(df: DataFrame, columns: Sequence[str]) -> Column:
+def _complete(df: DataFrame, columns: Sequence[str]) -> str:
     types = dict(df.dtypes)
-    return reduce(and_, [present(types, c) for c in columns])
+    return " AND ".join(present(c, types[c]) for c in columns)
 
 
 def drop_incomplete(ticks: DataFrame, columns: Sequence[str] = CRITICAL) -> DataFrame:
@@ -28,7 +26,7 @@ def drop_incomplete(ticks: DataFrame, columns: Sequence[str] = CRITICAL) -> Data
 
 def positive_price(ticks: DataFrame) -> DataFrame:
     """Keep rows with a price above zero."""
-    return ticks.filter(F.col("price") > 0)
+    return ticks.filter("price > 0")
 
 
 def dedup_ticks(ticks: DataFrame, key: Sequence[str] = TICK_KEY) -> DataFrame:
@@ -69,22 +67,21 @@ def cleaning_report(ticks: DataFrame) -> DataFrame:
     Counts per key first (combined map-side), then adds the keys up.
     """
     complete = _complete(ticks, CRITICAL)
-    valid = complete & (F.col("price") > 0)
     per_key = ticks.groupBy(*TICK_KEY).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(complete).alias("complete"),
-        F.count_if(valid).alias("valid"),
+        F.expr(f"count_if({complete})").alias("complete"),
+        F.expr(f"count_if({complete} AND price > 0)").alias("valid"),
     )
 
-    def total(c: Column) -> Column:
-        return F.coalesce(F.sum(c), F.lit(0))
+    def total(counted: str) -> Column:
+        return F.expr(f"coalesce(sum({counted}), 0)")
 
-    kept = F.least(F.col("valid"), F.lit(1))
+    kept = "least(valid, 1)"
     return per_key.agg(
-        total(F.col("n")).alias("initial_rows"),
-        total(F.col("n") - F.col("complete")).alias("incomplete_rows"),
-        total(F.col("complete") - F.col("valid")).alias("non_positive_rows"),
-        total(F.col("valid") - kept).alias("duplicate_rows"),
+        total("n").alias("initial_rows"),
+        total("n - complete").alias("incomplete_rows"),
+        total("complete - valid").alias("non_positive_rows"),
+        total(f"valid - {kept}").alias("duplicate_rows"),
         total(kept).alias("final_rows"),
-        total(F.col("n") - kept).alias("removed_rows"),
+        total(f"n - {kept}").alias("removed_rows"),
     )

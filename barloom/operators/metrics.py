@@ -51,16 +51,15 @@ def _spread(calendar: bool) -> dict[str, Column]:
 
 
 def _changes() -> dict[str, Column]:
-    close = F.col("close")
     return {
-        "change_1d_pct": pct_change(close, F.col("prev_close")),
-        "change_7d_pct": pct_change(close, F.col("close_7d_ago")),
+        "change_1d_pct": F.expr(pct_change("close", "prev_close")),
+        "change_7d_pct": F.expr(pct_change("close", "close_7d_ago")),
     }
 
 
 def _rounded(windowed: DataFrame) -> DataFrame:
     names = [c for c in _ROUNDED if c in windowed.columns]
-    return windowed.withColumns({c: half_up(F.col(c), 2) for c in names})
+    return windowed.withColumns({c: F.expr(half_up(c, 2)) for c in names})
 
 
 def moving_averages(bars: DataFrame, calendar: bool = False) -> DataFrame:
@@ -87,6 +86,7 @@ def add_metrics(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add the columns of `moving_averages`, `price_changes` and `volatility`."""
     averages, spread = _averages(calendar), _spread(calendar)
     windowed = bars.withColumns({**averages, **_lags(calendar), **spread})
-    changes = _changes()
-    return _rounded(windowed.withColumns(changes)).select(
-        *bars.columns, *averages, *changes, *spread)
+    rounded = {c: F.expr(half_up(c, 2)).alias(c) for c in _ROUNDED}
+    changes = [c.alias(name) for name, c in _changes().items()]
+    return windowed.select(
+        *bars.columns, *[rounded[c] for c in averages], *changes, *[rounded[c] for c in spread])

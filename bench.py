@@ -20,6 +20,7 @@ sys.path.insert(0, ROOT)
 HEADLINE = [
     "clean_ticks", "clean_ticks_by_part", "cleaning_report", "daily_bars",
     "daily_metrics", "daily_metrics_in_place", "daily_metrics_unique_keys",
+    "daily_metrics_by_user", "daily_metrics_by_user_in_place",
     "daily_metrics_by_type", "daily_metrics_by_part", "daily_metrics_by_part_in_place",
     "calendar_metrics_by_part", "explode_history", "restrict_to_top_k", "lookback",
     "append_skip_existing", "written_bars",

@@ -32,30 +32,29 @@ def props_number() -> Column:
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
-        "event_id", "event_type", F.col("user_id").cast("string").alias("user"),
+        "event_id", "event_type", F.col("user_id").cast("string").alias("uid"),
         epoch_ms("ts").alias("ms"), cents("value").alias("cents"), props_number().alias("k"))
 
 
-def _ticks(df: DataFrame, series: Column) -> DataFrame:
+def _ticks(df: DataFrame, series: str) -> DataFrame:
     return df.select(
         F.col("ms").alias("timestamp"), utc_datetime("ms").alias("datetime"),
-        series.alias("crypto_id"), F.col("cents").alias("price"),
+        F.col(series).alias("crypto_id"), F.col("cents").alias("price"),
         F.col("cents").alias("volume"), F.col("cents").alias("market_cap"))
 
 
 def ticks_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Few series without gaps: one per event type."""
-    return _ticks(_events(spark, sf_dir), F.col("event_type"))
+    return _ticks(_events(spark, sf_dir), "event_type")
 
 
 def ticks_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many series, some days missing: one per user."""
-    return _ticks(_events(spark, sf_dir), F.col("user"))
+    return _ticks(_events(spark, sf_dir), "uid")
 
 
-def ticks_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Very many, very gappy series over seven years, with repeated keys: one per part."""
-    return table(spark, sf_dir, "lineitem").select(
+def _line_ticks(lines: DataFrame) -> DataFrame:
+    return lines.select(
         epoch_ms("l_shipdate").alias("timestamp"),
         F.col("l_shipdate").alias("datetime"),
         F.col("l_partkey").cast("string").alias("crypto_id"),
@@ -64,61 +63,55 @@ def ticks_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
         cents("l_extendedprice").alias("market_cap"))
 
 
+def ticks_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Very many, very gappy series over seven years, with repeated keys: one per part."""
+    return _line_ticks(table(spark, sf_dir, "lineitem"))
+
+
 def returned_ticks_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The returned lines of `ticks_by_part`: an earlier, smaller load of the same series."""
-    lines = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-    return lines.select(
-        epoch_ms("l_shipdate").alias("timestamp"),
-        F.col("l_shipdate").alias("datetime"),
-        F.col("l_partkey").cast("string").alias("crypto_id"),
-        cents("l_extendedprice").alias("price"),
-        F.col("l_quantity").alias("volume"),
-        cents("l_extendedprice").alias("market_cap"))
+    return _line_ticks(table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'"))
+
+
+# Row defects, and the second rows some keys get, by the number in the props.
+_PRICE = """CASE WHEN k BETWEEN 6 AND 8 THEN NULL WHEN k BETWEEN 9 AND 11 THEN double('NaN')
+                 WHEN k BETWEEN 12 AND 14 THEN -cents WHEN k BETWEEN 15 AND 17 THEN 0D
+                 ELSE cents END AS price"""
+_VOLUME = "CASE WHEN k NOT BETWEEN 20 AND 39 THEN cents END AS volume"
+_ROWS = """inline(CASE
+    WHEN k BETWEEN 50 AND 59 THEN array(struct(price, volume), struct(price, double(NULL) AS volume))
+    WHEN k BETWEEN 60 AND 69 THEN array(struct(price, volume), struct(price, volume))
+    WHEN k BETWEEN 70 AND 79 THEN array(struct(price, volume), struct(price, volume + 1 AS volume))
+    WHEN k BETWEEN 80 AND 89 THEN array(struct(price, volume), struct(-1D AS price, volume))
+    WHEN k >= 90 THEN array(struct(price, volume), struct(price + 1 AS price, double(NULL) AS volume))
+    ELSE array(struct(price, volume)) END)"""
 
 
 def dirty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events by user, some with a defect, some with a second row of the same key."""
-    k, c = F.col("k"), F.col("cents")
-    price = (
-        F.when(k.between(6, 8), F.lit(None).cast("double"))
-        .when(k.between(9, 11), F.lit(float("nan")))
-        .when(k.between(12, 14), -c)
-        .when(k.between(15, 17), F.lit(0.0))
-        .otherwise(c)
-    )
-    volume = F.when(~k.between(20, 39), c)
-
-    def row(price: Column, volume: Column) -> Column:
-        return F.struct(price.alias("price"), volume.alias("volume"))
-
-    first = row(price, volume)
-    rows = (
-        F.when(k.between(50, 59), F.array(first, row(price, F.lit(None).cast("double"))))
-        .when(k.between(60, 69), F.array(first, first))
-        .when(k.between(70, 79), F.array(first, row(price, volume + 1)))
-        .when(k.between(80, 89), F.array(first, row(F.lit(-1.0), volume)))
-        .when(k >= 90, F.array(first, row(price + 1, F.lit(None).cast("double"))))
-        .otherwise(F.array(first))
+    return (
+        _events(spark, sf_dir)
+        .selectExpr(
+            "CASE WHEN k NOT BETWEEN 3 AND 5 THEN ms END AS timestamp",
+            "CASE WHEN k >= 3 THEN uid END AS crypto_id",
+            _PRICE, _VOLUME, "cents AS market_cap", "k")
+        .selectExpr("timestamp", "crypto_id", "market_cap", _ROWS)
+        .select("timestamp", utc_datetime("timestamp").alias("datetime"), "crypto_id",
+                "price", "volume", "market_cap")
     )
-    ticks = _events(spark, sf_dir).select(
-        F.when(~k.between(3, 5), F.col("ms")).alias("timestamp"),
-        F.when(k >= 3, F.col("user")).alias("crypto_id"),
-        c.alias("market_cap"), F.inline(rows))
-    return ticks.withColumn("datetime", utc_datetime("timestamp")).select(TICKS.names)
 
 
 def contract_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events by user, some of them against the contract of the tick table."""
-    k, ms = F.col("k"), F.col("ms")
-    return _events(spark, sf_dir).select(
-        F.when(k >= 3, ms).alias("timestamp"),
-        F.when(~k.between(3, 5), utc_datetime("ms")).alias("datetime"),
-        F.when(k.between(6, 8), F.lit(None).cast("string"))
-        .when(k.between(9, 11), F.lpad("user", 51, "0"))
-        .when(k.between(12, 14), F.lpad("user", 50, "0"))
-        .otherwise(F.col("user")).alias("crypto_id"),
-        F.col("cents").alias("price"), F.col("cents").alias("volume"),
-        F.col("cents").alias("market_cap"))
+    return (
+        _events(spark, sf_dir).withColumn("at", utc_datetime("ms"))
+        .selectExpr(
+            "CASE WHEN k >= 3 THEN ms END AS timestamp",
+            "CASE WHEN k NOT BETWEEN 3 AND 5 THEN at END AS datetime",
+            """CASE WHEN k BETWEEN 6 AND 8 THEN NULL WHEN k BETWEEN 9 AND 11 THEN lpad(uid, 51, '0')
+                    WHEN k BETWEEN 12 AND 14 THEN lpad(uid, 50, '0') ELSE uid END AS crypto_id""",
+            "cents AS price", "cents AS volume", "cents AS market_cap")
+    )
 
 
 def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +121,7 @@ def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = (
         _events(spark, sf_dir)
-        .groupBy("user", F.expr(f"event_id div {PAGE}").alias("page"))
+        .groupBy("uid", F.expr(f"event_id div {PAGE}").alias("page"))
         .agg(
             F.sort_array(F.collect_list(F.struct("ms", "event_id", "cents"))).alias("points"),
             F.min_by("k", "event_id").alias("k"),
@@ -142,7 +135,7 @@ def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     volumes = F.slice(pairs, F.lit(1), F.greatest(n - 2, F.lit(0)))
     return (
         docs.select(
-            F.col("user").alias("id"), "k", F.size("points").alias("n"),
+            F.col("uid").alias("id"), "k", F.size("points").alias("n"),
             F.transform("points", lambda p: F.array(p["ms"].cast("double"), p["cents"])).alias("pairs"))
         .select(
             "id",
@@ -160,7 +153,7 @@ def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market listing of the users; the sum of a user's values stands for the market cap."""
     return (
-        _events(spark, sf_dir).groupBy("user")
+        _events(spark, sf_dir).groupBy("uid")
         .agg(F.max_by("cents", "event_id").alias("current_price"), F.sum("cents").alias("market_cap"))
-        .select(F.col("user").alias("id"), F.concat(F.lit("u"), "user").alias("symbol"),
+        .select(F.col("uid").alias("id"), F.concat(F.lit("u"), "uid").alias("symbol"),
                 "current_price", "market_cap"))

@@ -208,6 +208,8 @@ ORACLE: dict[str, str] = {
     "calendar_volatility": f"""WITH {_USER_BARS}, {ON_DAYS}
         SELECT crypto_id, date, close, {CAL_VOLATILITY} FROM calendar""",
     "daily_metrics": _DIRTY_METRICS,
+    "daily_metrics_by_user": _metrics(BY_USER),
+    "daily_metrics_by_user_in_place": _metrics(BY_USER),
     "daily_metrics_by_type": _metrics(BY_TYPE),
     "daily_metrics_by_part": _metrics(BY_PART),
     "calendar_metrics_by_part": f"""WITH {BY_PART}, {CLEAN}, {BARS}, {ON_DAYS}

@@ -137,6 +137,16 @@ def daily_metrics(spark, sf):
     return b.daily_metrics(a.dirty_ticks(spark, sf))
 
 
+@_query
+def daily_metrics_by_user(spark, sf):
+    return b.daily_metrics(a.ticks_by_user(spark, sf))
+
+
+@_query
+def daily_metrics_by_user_in_place(spark, sf):
+    return b.daily_metrics(a.ticks_by_user(spark, sf), "by_bar")
+
+
 @_query
 def daily_metrics_by_type(spark, sf):
     return b.daily_metrics(a.ticks_by_type(spark, sf))
