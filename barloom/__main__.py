@@ -31,6 +31,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     job.add_argument("--date", required=True)
     job.add_argument("--series", type=int, default=FULL_PROFILE[0])
     job.add_argument("--days", type=int, default=FULL_PROFILE[1])
+    job.add_argument("--until-ms", type=int, help="end of the look-back; default: the latest tick")
     job.add_argument("--multiline", action="store_true")
     job.add_argument("--by-series", action="store_true")
 
@@ -61,7 +62,7 @@ def main(argv: list[str] | None = None) -> RunReport:
         report = ingest(
             read_listing(spark, args.listing, args.multiline),
             read_history(spark, args.histories, args.multiline),
-            args.raw, args.date, args.series, args.days, by_series=args.by_series)
+            args.raw, args.date, args.series, args.days, args.until_ms, args.by_series)
     elif args.job == "load":
         create_tick_table(spark, args.table, buckets=args.buckets)
         rows = load_snapshot(

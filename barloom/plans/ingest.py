@@ -16,7 +16,8 @@ def ticks_of_top_k(listing: DataFrame, histories: DataFrame, k: int = FULL_PROFI
     """Ticks of the `k` largest series.
 
     The documents are restricted before they are exploded, so the join sees documents
-    and not ticks. `days` also cuts the history; documents commonly cover it already.
+    and not ticks. `days` also cuts the history; documents commonly cover it already. With
+    `until_ms` the documents are read once, without it a second time for the latest tick.
     """
     ticks = explode_history(restrict_to_top_k(histories, listing, k, on="id"))
     return ticks if days is None else lookback(ticks, days, until_ms)

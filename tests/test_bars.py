@@ -8,7 +8,7 @@ import pytest
 import barloom as b
 from barloom.functions.time import MS_PER_DAY, epoch_ms, utc_datetime, utc_day
 from barloom.schema import BARS
-from helpers import DAY0, by_day, model_metrics, ticks
+from helpers import DAY0, by_day, count_nodes, model_metrics, plan, ticks
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
@@ -101,3 +101,23 @@ def test_layout_follows_the_densest_bar(spark, monkeypatch):
     assert b.choose_layout(df) == "spread"
     with pytest.raises(ValueError):
         b.clean_bars(df, "other")
+
+
+@pytest.mark.parametrize(("layout", "shuffles"), [("spread", 3), ("by_bar", 2), ("unique", 2)])
+def test_shuffles_of_a_run(spark, tmp_path, layout, shuffles):
+    b.write_ticks(ticks(spark, [("a", DAY0, 5.0)]), str(tmp_path), "2024-01-01")
+    for calendar in (False, True):
+        df = b.daily_metrics(b.read_ticks(spark, str(tmp_path)), layout, calendar)
+        text = plan(df)
+        assert count_nodes(df, "Exchange") == shuffles, text
+        assert "rangepartitioning" not in text and "Python" not in text
+        assert "datetime" not in text[text.index("ReadSchema"):]
+        assert "GreaterThan(price,0.0)" in text
+
+
+def test_partial_bars_leave_a_task_as_one_row_per_day(spark):
+    # One series and day, many ticks and tasks: what is shuffled is one partial bar a task.
+    df = b.clean_bars(ticks(spark, [("hot", DAY0 + i, 1.0) for i in range(5000)]), "unique")
+    text = plan(df)
+    assert text.index("partial_min_by") > text.index("Exchange hashpartitioning(crypto_id")
+    assert by_day(df, "data_points") == [(5000,)]
