@@ -13,7 +13,7 @@ def local_session(zone: str = "UTC"):
     from barloom.session import get_session
 
     spark = get_session(
-        "tests", master="local[8]", spark__ui__enabled="false",
+        "tests", master="local[8,4]", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions=8,
         spark__driver__memory="8g", spark__sql__session__timeZone=zone,
         spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="run-"))

@@ -230,6 +230,27 @@ def test_transform_counts_what_it_removed(spark, tmp_path):
         assert report.counts == {"raw": 4, "removed": 3, "clean": 1, "bars": 1}
 
 
+def failing_once(batches):
+    """Hand the rows on, then fail if this is the task's first attempt."""
+    from pyspark import TaskContext
+
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+
+def test_counts_are_exact_when_tasks_run_again(spark, tmp_path):
+    root = str(tmp_path)
+    data = [(f"s{i % 7}", DAY0 + i * 1000, float(i + 1)) for i in range(2000)]
+    flaky = ticks(spark, data).repartition(6).mapInPandas(failing_once, TICKS)
+    for date, clustered in (("2024-01-01", False), ("2024-01-02", True)):
+        assert b.write_ticks(flaky, root, date, clustered=clustered)[1] == 2000
+        assert rows(b.read_ticks(spark, root)) == sorted(data)
+    metrics = b.daily_metrics(flaky).repartition(3).mapInPandas(failing_once, METRICS)
+    assert b.write_bars(metrics, root, "2024-01-01")[1:] == (7, 2000)
+    assert b.read_bars(spark, root, "2024-01-01").count() == 7
+
+
 def test_preview(spark):
     m = b.daily_metrics(ticks(spark, [("b", DAY0, 1.0), ("a", DAY0 + MS_PER_DAY, 3.0), ("a", DAY0, 2.0)]))
     got = b.preview(m, 2)
