@@ -1,14 +1,16 @@
 """The operators' queries over the given tables, and SQL for those that SQL can express."""
 
-from . import langid, mixing, quality, rules
+from . import jaccard, langid, mixing, quality, rules
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op3_jaccard_join": jaccard.op3_jaccard_join,
     "op5_mixing": mixing.op5_mixing,
     "op9_quality": quality.op9_quality,
     "op10_quality_rules": rules.op10_quality_rules,
 }
 
 ORACLE = {
+    "op3_jaccard_join": jaccard.ORACLE_OP3,
     "op5_mixing": mixing.ORACLE_OP5,
 }
