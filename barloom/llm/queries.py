@@ -1,11 +1,13 @@
 """The operators' queries over the given tables, and SQL for those that SQL can express."""
 
-from . import jaccard, langid, mixing, quality, rules
+from . import jaccard, langid, mixing, packing, quality, rules, tokencount
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op3_jaccard_join": jaccard.op3_jaccard_join,
     "op5_mixing": mixing.op5_mixing,
+    "op7_token_counts": tokencount.op7_token_counts,
+    "op8_packing": packing.op8_packing,
     "op9_quality": quality.op9_quality,
     "op10_quality_rules": rules.op10_quality_rules,
 }
