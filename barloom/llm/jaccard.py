@@ -27,16 +27,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, id_text, stored, table, words_of, worker_cache
+from .common import columns_of, id_text, stored, table, words_of
 
 GROUPS = 64
 COUNTERS = 1 << 20
 BOX_SETS = 128
 FILTER_BITS = 1 << 24
-_CACHE = 1 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -50,13 +50,7 @@ def shingles(text: str, n: int) -> np.ndarray:
     words = words_of(text)
     if not words:
         return np.zeros(0, np.uint64)
-    cache = worker_cache("jaccard")
-    if len(cache) > _CACHE:
-        cache.clear()
-    for w in words:
-        if w not in cache:
-            cache[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-    h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     size = min(n, len(h))
     out = np.full(len(h) - size + 1, np.uint64(size))
     for i in range(size):

@@ -11,30 +11,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, id_text, stored, table, worker_cache
+from .common import columns_of, id_text, stored, table
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
+PRIOR = 50.0
 MAX_LABELLED = 200_000
 MARGIN = 7.0
-_CACHE = 1 << 20
-_TOKEN = re.compile(r"\w+|[^\w\s]+")
+_TOKEN = re.compile(rb"[\w\x80-\xff]+|[^\w\s\x80-\xff]+")
 
 
 def _hashes(text: str) -> np.ndarray:
     """Buckets of the words and marks of a text and of their pairs."""
-    cache = worker_cache("quality")
-    tokens = _TOKEN.findall(text)
-    try:
-        h = np.fromiter(map(cache.__getitem__, tokens), np.uint32, len(tokens))
-    except KeyError:
-        if len(cache) > _CACHE:
-            cache.clear()
-        for t in tokens:
-            if t not in cache:
-                cache[t] = zlib.crc32(t.encode("utf-8", "surrogatepass"))
-        h = np.fromiter(map(cache.__getitem__, tokens), np.uint32, len(tokens))
+    tokens = _TOKEN.findall(text.encode("utf-8", "surrogatepass"))
+    h = np.fromiter(map(zlib.crc32, tokens), np.uint32, len(tokens))
     pair = (h[:-1] * np.uint32(2654435761)) ^ (h[1:] * np.uint32(40503))
     pair ^= pair >> np.uint32(15)
+    pair[h[:-1] == h[1:]] = 0  # a token twice in a row is one feature, whatever the token
     return np.concatenate((h, pair)) & np.uint32(BUCKETS - 1)
 
 
@@ -42,17 +34,12 @@ def _bucket_counts(target_ids: frozenset):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
         for ids, texts in columns_of(batches, "doc_id", "text"):
-            for i, text in zip(ids, texts, strict=True):
-                own = np.bincount(_hashes(text), minlength=BUCKETS) if len(text) > 100_000 else None
-                if own is None:
-                    h = _hashes(text)
-                    np.add.at(counts[0], h, 1)
-                    if i in target_ids:
-                        np.add.at(counts[1], h, 1)
-                else:
-                    counts[0] += own
-                    if i in target_ids:
-                        counts[1] += own
+            own = [_hashes(t) for t in texts]
+            for lo in range(0, len(own), 256):
+                counts[0] += np.bincount(np.concatenate(own[lo:lo + 256]), minlength=BUCKETS)
+            good = [h for i, h in zip(ids, own, strict=True) if i in target_ids]
+            if good:
+                counts[1] += np.bincount(np.concatenate(good), minlength=BUCKETS)
         at = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int64()), pa.array(counts[0][at]), pa.array(counts[1][at])],
@@ -66,8 +53,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Raw counts cover all documents. The target model is fitted to documents labelled
     quality 1 and not toxic, at most max_labelled of them (the smallest hashes of the id; an
-    id with several labels needs all of them good). Counts are smoothed by one, so without
-    labels every ratio is 0 but for rounding.
+    id with several labels needs all of them good). A bucket's ratio is that of its count in the
+    target to the count usual in raw text of that length, both with PRIOR added: what is rare
+    tells little, and without labels every ratio is 0.
     """
     spark = docs.sparkSession
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
@@ -82,13 +70,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = id_text(docs, id_col, text_col).mapInArrow(
         run, "bucket long, raw long, target long").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
-    raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
+    raw, target = np.ones(BUCKETS), np.zeros(BUCKETS)
     at = found.column("bucket").to_numpy()
     raw[at] += found.column("raw").to_numpy()
     target[at] += found.column("target").to_numpy()
-    if target.sum() == BUCKETS:
-        return np.zeros(BUCKETS)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+    raw /= raw.sum()
+    usual = target.sum() * raw
+    ratio = (target + PRIOR) / (usual + PRIOR)
+    return np.log(ratio) - np.log((raw * ratio).sum())
 
 
 def gumbel(id_col: str = "doc_id"):

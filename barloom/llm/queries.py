@@ -1,10 +1,11 @@
 """The operators' queries over the given tables, and SQL for those that SQL can express."""
 
-from . import jaccard, langid, mixing, packing, quality, rules, tokencount
+from . import fingerprint, jaccard, langid, mixing, packing, quality, rules, tokencount
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
     "op3_jaccard_join": jaccard.op3_jaccard_join,
+    "op4_fingerprints": fingerprint.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
     "op7_token_counts": tokencount.op7_token_counts,
     "op8_packing": packing.op8_packing,
