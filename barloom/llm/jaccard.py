@@ -323,7 +323,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """The documents without the later ones of each component; all columns, one row an id."""
     first = jaccard_components(docs, n, percent).where(
         F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi").dropDuplicates(["doc_id"])
 
 
 ORACLE_OP3 = r"""

@@ -147,7 +147,10 @@ def keep_resampled(docs: DataFrame, ratio: np.ndarray, least: float, id_col: str
     """The rows, all columns, whose key is at least `least`; scored again rather than joined,
     so that no text is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
-    noisy = docs.withColumn("_noise", gumbel(id_col))
+    noise = "_noise"
+    while noise in docs.columns:
+        noise += "_"
+    noisy = docs.withColumn(noise, gumbel(id_col))
 
     def run(batches):
         for batch in batches:
@@ -155,7 +158,7 @@ def keep_resampled(docs: DataFrame, ratio: np.ndarray, least: float, id_col: str
                 at = batch.schema.get_field_index
                 lr = [float(shared.value[_hashes(t or "")].sum())
                       for t in batch.column(at(text_col)).to_pylist()]
-                keys = np.array(lr) + batch.column(at("_noise")).to_numpy(zero_copy_only=False)
+                keys = np.array(lr) + batch.column(at(noise)).to_numpy(zero_copy_only=False)
                 yield batch.select(docs.columns).filter(pa.array(keys >= least))
 
     return noisy.mapInArrow(run, docs.schema)

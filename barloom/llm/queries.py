@@ -1,12 +1,14 @@
 """The operators' queries over the given tables, and SQL for those that SQL can express."""
 
-from . import fingerprint, jaccard, langid, mixing, packing, quality, rules, tokencount
+from . import fingerprint, html, jaccard, langid, lm, mixing, packing, quality, rules, tokencount
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
+    "op2_lm_scoring": lm.op2_lm_scoring,
     "op3_jaccard_join": jaccard.op3_jaccard_join,
     "op4_fingerprints": fingerprint.op4_fingerprints,
     "op5_mixing": mixing.op5_mixing,
+    "op6_html_extraction": html.op6_html_extraction,
     "op7_token_counts": tokencount.op7_token_counts,
     "op8_packing": packing.op8_packing,
     "op9_quality": quality.op9_quality,
