@@ -150,7 +150,7 @@ def keep_resampled(docs: DataFrame, ratio: np.ndarray, least: float, id_col: str
     noise = "_noise"
     while noise in docs.columns:
         noise += "_"
-    noisy = docs.withColumn(noise, gumbel(id_col))
+    columns, noisy = docs.columns, docs.withColumn(noise, gumbel(id_col))
 
     def run(batches):
         for batch in batches:
@@ -159,7 +159,7 @@ def keep_resampled(docs: DataFrame, ratio: np.ndarray, least: float, id_col: str
                 lr = [float(shared.value[_hashes(t or "")].sum())
                       for t in batch.column(at(text_col)).to_pylist()]
                 keys = np.array(lr) + batch.column(at(noise)).to_numpy(zero_copy_only=False)
-                yield batch.select(docs.columns).filter(pa.array(keys >= least))
+                yield batch.select(columns).filter(pa.array(keys >= least))
 
     return noisy.mapInArrow(run, docs.schema)
 
