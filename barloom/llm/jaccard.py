@@ -8,9 +8,10 @@ The tree, from the root:
 
 1. Cells. Two linked sets share one of their first shingles in any order that is the same
    for all sets, if each shows as many as it may lack of the other, plus one. A set enters
-   the cells of those; the order puts shingles of many documents last, so that a common
-   passage opens no cell in documents that have anything else. Which shingles are common is
-   read from counters of their hashes over all documents; it steers the order, not the result.
+   the cells of those. The order is by the rarest word of a shingle: by counters of word
+   hashes over all documents, which are never less than the number of documents that have
+   the shingle. So a common passage opens no cell in documents that have anything rarer.
+   The counters steer the order, not the result.
 2. Boxes. The sets of a cell are cut into boxes of near points, of a bounded number of sets
    each, and box pairs of one cell are joined where the corners' bound allows a link.
 3. Points. Pairs of sets that pass the points' bound are verified on their shingles.
@@ -45,32 +46,51 @@ def _mixed(h: np.ndarray, by: np.uint64) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingles(text: str, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word n-grams; of the whole if there are fewer words."""
+def _word_hashes(text: str) -> np.ndarray:
     words = words_of(text)
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _ngrams(h: np.ndarray, n: int) -> np.ndarray:
     size = min(n, len(h))
     out = np.full(len(h) - size + 1, np.uint64(size))
     for i in range(size):
         out = _mixed(out, _M1) + h[i:len(h) - size + 1 + i]
-    return np.unique(_mixed(out, _M2))
+    return _mixed(out, _M2)
 
 
-def _counters(n: int):
-    """Parts (part, counts) of a task's counters: how many texts have a shingle of each slot."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, np.int64)
-        for (texts,) in columns_of(batches, "text"):
-            for at in range(0, len(texts), 512):
-                sets = np.concatenate([shingles(t, n) for t in texts[at:at + 512]])
-                counts += np.bincount((sets & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-        parts = counts.astype(np.uint32).reshape(-1, 1 << 14)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-            ["part", "counts"])
-    return run
+def shingles(text: str, n: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the word n-grams; of the whole if there are fewer words."""
+    h = _word_hashes(text)
+    return np.unique(_ngrams(h, n)) if len(h) else h
+
+
+def set_and_cells(text: str, n: int, percent: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A text's shingles, and its cells: its first shingles by the count of their rarest word."""
+    h = _word_hashes(text)
+    if not len(h):
+        return h, h
+    found, first = np.unique(_ngrams(h, n), return_index=True)
+    of = counts[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
+    size = min(n, len(h))
+    rarest = of[:len(h) - size + 1]
+    for i in range(1, size):
+        rarest = np.minimum(rarest, of[i:len(h) - size + 1 + i])
+    shown = len(found) + (-len(found) * percent) // 100 + 1
+    return found, found[np.argsort(rarest[first], kind="stable")[:shown]]
+
+
+def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts (part, counts) of a task's counters of word hashes."""
+    counts = np.zeros(COUNTERS, np.int64)
+    for (texts,) in columns_of(batches, "text"):
+        for at in range(0, len(texts), 512):
+            h = np.concatenate([_word_hashes(t) for t in texts[at:at + 512]])
+            counts += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+    parts = counts.astype(np.uint32).reshape(-1, 1 << 14)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
+        ["part", "counts"])
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,22 +104,14 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         [pa.array([part], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "counts"])
 
 
-def common_slots(texts: DataFrame, n: int) -> np.ndarray:
-    """For each slot of shingle hashes whether far more texts than usual have one of it."""
-    parts = texts.select("text").mapInArrow(_counters(n), "part int, counts binary").groupBy(
+def word_counts(texts: DataFrame) -> np.ndarray:
+    """COUNTERS counts (4 MB) whatever the number of words; words of one slot share a count."""
+    parts = texts.select("text").mapInArrow(_counters, "part int, counts binary").groupBy(
         "part").applyInArrow(_summed, "part int, counts binary").collect()
-    counts = np.zeros((COUNTERS >> 14, 1 << 14))
+    counts = np.zeros((COUNTERS >> 14, 1 << 14), np.int64)
     for r in parts:
         counts[r["part"]] = np.frombuffer(r["counts"], np.int64)
-    mean = counts.mean()
-    return counts.ravel() > mean + 6 * np.sqrt(mean) + 16
-
-
-def cells(s: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
-    """The cells of a set: its first shingles, common ones last."""
-    last = common[(s & np.uint64(COUNTERS - 1)).astype(np.int64)]
-    shown = len(s) + (-len(s) * percent) // 100 + 1
-    return np.concatenate((s[~last][:shown], s[last][:max(0, shown - int((~last).sum()))]))
+    return np.minimum(counts.ravel(), (1 << 32) - 1).astype(np.uint32)
 
 
 def point(s: np.ndarray) -> np.ndarray:
@@ -114,18 +126,18 @@ def _longs(a: np.ndarray) -> list[int]:
     return a.view(np.int64)
 
 
-def _sets(n: int, percent: int, common):
+def _sets(n: int, percent: int, counts):
     """Rows (doc_id, node, n_shingles, cells); an empty set has a null node and no cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in columns_of(batches, "doc_id", "text"):
             for at in range(0, len(ids), 512):
-                sets = [shingles(t, n) for t in texts[at:at + 512]]
+                both = [set_and_cells(t, n, percent, counts.value) for t in texts[at:at + 512]]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids[at:at + 512], pa.int64()),
-                    pa.array([_digest(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_longs(cells(s, percent, common.value)) if len(s) else [] for s in sets],
-                             pa.list_(pa.int64()))], ["doc_id", "node", "n_shingles", "cells"])
+                    pa.array([_digest(s) if len(s) else None for s, _ in both], pa.int64()),
+                    pa.array([len(s) for s, _ in both], pa.int64()),
+                    pa.array([_longs(c) for _, c in both], pa.list_(pa.int64()))],
+                    ["doc_id", "node", "n_shingles", "cells"])
     return run
 
 
@@ -180,7 +192,7 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, percent: int
         F.col("point_a"), F.col("point_b"), F.col("n_a"), F.col("n_b"), percent))
     full = both(near.select("a", "b", "n_a", "n_b"), sets, "shingles")
     overlap = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return full.where((100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    return full.where((100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -268,9 +280,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     """
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col)
-    common = spark.sparkContext.broadcast(common_slots(texts, n))
+    counts = spark.sparkContext.broadcast(word_counts(texts))
     found = stored(texts.mapInArrow(
-        _sets(n, percent, common), "doc_id long, node long, n_shingles long, cells array<long>"))
+        _sets(n, percent, counts), "doc_id long, node long, n_shingles long, cells array<long>"))
     members = found.where("node is not null").select(F.explode("cells").alias("cell"), "node")
     shared = members.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
         "first <> last").select("cell", "first")
@@ -281,7 +293,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     ids = found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     bitmap = spark.sparkContext.broadcast(_bitmap(ids.select((_slot("doc_id") + 1).alias("slot"))))
     sets = stored(texts.withColumn("slot", _slot("doc_id")).mapInArrow(
-        _wanted(n, bitmap), "node long, n long, point array<long>, shingles array<long>").dropDuplicates(["node"]))
+        _wanted(n, bitmap), "node long, n long, point array<long>, shingles array<long>"))
     points = sets.select("node", "n", "point")
     links = stored(_verified(spread, points, sets, percent))
     roots = stored(components(links))
