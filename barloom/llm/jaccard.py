@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import columns_of, id_text, stored, table, words_of
 
 GROUPS = 64
+COARSE = 16
 COUNTERS = 1 << 20
 BOX_SETS = 128
 FILTER_BITS = 1 << 24
@@ -141,26 +142,45 @@ def _sets(n: int, percent: int, counts):
     return run
 
 
-def _wanted(n: int, bitmap):
-    """Rows (node, n, point, shingles) of the texts whose id the bitmap may hold."""
+def _wanted(n: int, bitmap, column: str):
+    """Rows (node, n, point) or (node, shingles) of the texts whose slot the bitmap may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
-        for ids, slots, texts in columns_of(batches, "doc_id", "slot", "text"):
+        for slots, texts in columns_of(batches, "slot", "text"):
             own = [t for i, t in zip(slots, texts, strict=True) if bits[i >> 3] >> (i & 7) & 1]
             for at in range(0, len(own), 256):
                 sets = [s for t in own[at:at + 256] if len(s := shingles(t, n))]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([_digest(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s) for s in sets], pa.list_(pa.int64())),
-                    pa.array([_longs(s) for s in sets], pa.list_(pa.int64()))],
-                    ["node", "n", "point", "shingles"])
+                nodes = pa.array([_digest(s) for s in sets], pa.int64())
+                if column == "point":
+                    yield pa.RecordBatch.from_arrays([
+                        nodes, pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([point(s) for s in sets], pa.list_(pa.int32()))], ["node", "n", "point"])
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [nodes, pa.array([_longs(s) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
     return run
 
 
+class Texts:
+    """Texts with the first document of each node, read again for the nodes that are asked for."""
+
+    def __init__(self, texts: DataFrame, found: DataFrame, n: int):
+        self.texts, self.n = texts.withColumn("slot", _slot("doc_id")), n
+        self.ids = found.where("node is not null").select("doc_id", "node")
+
+    def of(self, nodes: DataFrame, column: str) -> DataFrame:
+        """column: point (with n), or shingles. A filter of fixed size picks the texts, so a
+        few others come along; a join on the node leaves them behind."""
+        ids = self.ids.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+        bitmap = self.texts.sparkSession.sparkContext.broadcast(
+            _bitmap(ids.select((_slot("doc_id") + 1).alias("slot"))))
+        kind = "node long, n long, point array<int>" if column == "point" else "node long, shingles array<long>"
+        return stored(self.texts.mapInArrow(_wanted(self.n, bitmap, column), kind))
+
+
 def bound_allows(a: Column, b: Column, size_a: Column, size_b: Column, percent: int) -> Column:
     """Whether the summed minima of two points or corners leave an overlap that links."""
-    overlap = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0).cast("long"),
+    overlap = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"),
                           lambda x, y: x + y)
     return (100 + percent) * overlap >= percent * (size_a + size_b)
 
@@ -180,19 +200,23 @@ def _slot(column: str) -> Column:
     return (F.xxhash64(column) % FILTER_BITS + FILTER_BITS) % FILTER_BITS
 
 
-def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) the linked ones: points first, then shingles."""
+def _verified(pairs: DataFrame, points: DataFrame, texts: Texts, percent: int) -> DataFrame:
+    """Of the pairs (a, b) the linked ones: by points first, the rest by their shingles."""
     def both(rows: DataFrame, of: DataFrame, *cols: str) -> DataFrame:
         for side in ("a", "b"):
             rows = rows.join(of.select(F.col("node").alias(side),
                                        *[F.col(c).alias(f"{c}_{side}") for c in cols]), side)
         return rows
 
-    near = both(pairs, points, "n", "point").where(bound_allows(
-        F.col("point_a"), F.col("point_b"), F.col("n_a"), F.col("n_b"), percent))
-    full = both(near.select("a", "b", "n_a", "n_b"), sets, "shingles")
+    sizes = both(pairs, points.select("node", "n"), "n").where(
+        (100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
+    near = stored(both(sizes, points, "point").where(bound_allows(
+        F.col("point_a"), F.col("point_b"), F.col("n_a"), F.col("n_b"), percent)).select(
+        "a", "b", "n_a", "n_b").distinct())
+    sets = texts.of(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "shingles")
     overlap = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    return full.where((100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
+    return both(near, sets, "shingles").where(
+        (100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -231,10 +255,11 @@ def components(edges: DataFrame) -> DataFrame:
 def _boxes(residual: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of one cell and different roots that the tree's bounds let through.
 
-    residual: (cell, node, root, n, point). A box holds the points of one tile (steps of size
-    and of the first two coordinates); a tile with more than BOX_SETS points is dealt to
-    several boxes by hash, all compared with each other. Boxes are joined on their corners,
-    then points of the surviving boxes on theirs.
+    residual: (cell, node, root, n, point), with points of COARSE coordinates, sums of the
+    full ones. A box holds the points of one tile (steps of size and of the first two
+    coordinates); a tile with more than BOX_SETS points is dealt to several boxes by hash, all
+    compared with each other. Boxes are joined on their corners, then points of the surviving
+    boxes on theirs.
     """
     tile = F.struct(F.floor(F.log(F.col("n").cast("double")) * 20).alias("size"),
                     F.floor(F.sqrt(F.col("point")[0].cast("double")) * 2).alias("x"),
@@ -246,8 +271,8 @@ def _boxes(residual: DataFrame, percent: int) -> DataFrame:
         "cell", "box", "node", "root", "n", "point"))
     corners = rows.groupBy("cell", "box").agg(
         F.min("n").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"),
-        *[F.max(F.col("point")[i]).alias(f"x{i}") for i in range(GROUPS)]).select(
-        "cell", "box", "n", "r0", "r1", F.array(*[F.col(f"x{i}") for i in range(GROUPS)]).alias("corner"))
+        *[F.max(F.col("point")[i]).alias(f"x{i}") for i in range(COARSE)]).select(
+        "cell", "box", "n", "r0", "r1", F.array(*[F.col(f"x{i}") for i in range(COARSE)]).alias("corner"))
     one, two = corners.alias("one"), corners.alias("two")
     pairs = one.join(two, (F.col("one.cell") == F.col("two.cell")) & (F.col("one.box") <= F.col("two.box"))
                      & ~((F.col("one.r0") == F.col("one.r1")) & (F.col("two.r0") == F.col("two.r1"))
@@ -289,20 +314,20 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     members = stored(members.join(shared, "cell").distinct())
     spread = stored(members.where("first <> node").select(
         F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct())
-    nodes = members.select("node").distinct()
-    ids = found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    bitmap = spark.sparkContext.broadcast(_bitmap(ids.select((_slot("doc_id") + 1).alias("slot"))))
-    sets = stored(texts.withColumn("slot", _slot("doc_id")).mapInArrow(
-        _wanted(n, bitmap), "node long, n long, point array<long>, shingles array<long>"))
-    points = sets.select("node", "n", "point")
-    links = stored(_verified(spread, points, sets, percent))
+    own = Texts(texts, found, n)
+    points = own.of(members.select("node").distinct(), "point").dropDuplicates(["node"])
+    points = stored(points)
+    links = stored(_verified(spread, points, own, percent))
     roots = stored(components(links))
     rooted = members.join(roots, "node", "left").select(
         "cell", "node", F.coalesce("root", "node").alias("root"))
     apart = rooted.groupBy("cell").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where(
         "r0 <> r1").select("cell")
-    residual = rooted.join(apart, "cell").join(points, "node")
-    more = stored(_verified(_boxes(residual, percent), points, sets, percent))
+    step = GROUPS // COARSE
+    coarse = F.array(*[sum((F.col("point")[i + k] for k in range(1, step)), F.col("point")[i])
+                       for i in range(0, GROUPS, step)])
+    residual = rooted.join(apart, "cell").join(points.select("node", "n", coarse.alias("point")), "node")
+    more = stored(_verified(_boxes(residual, percent), points, own, percent))
     if more.limit(1).count():
         joined = more
         for side in ("a", "b"):
