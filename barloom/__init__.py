@@ -32,11 +32,11 @@ from barloom.plans.ingest import ingest, ticks_of_top_k
 from barloom.plans.load import load_snapshot
 from barloom.plans.report import RunReport
 from barloom.plans.transform import (
-    choose_layout,
     clean_bars,
     daily_metrics,
     densest_bar,
     preview,
+    raw_preview,
     run_transform,
 )
 from barloom.session import get_session

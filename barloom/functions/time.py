@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MS_PER_DAY = 86_400_000
+# The instants of the years 1 to 9999, which dates and timestamps hold.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 

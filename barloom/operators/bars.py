@@ -9,6 +9,17 @@ from barloom.functions.numeric import half_up
 from barloom.functions.time import utc_datetime, utc_day
 
 
+# Sums are taken in decimals of this type, so that they do not depend on the order of the
+# rows. Ten places after the point; a sum beyond 28 places before it is an error.
+EXACT = "decimal(38, 10)"
+
+
+def _exact_sum(column: str):
+    """Sum of doubles, rounded once at the end; null if there are none. Not-a-number and
+    infinite values count as missing."""
+    return F.sum(F.col(column).cast(EXACT)).cast("double")
+
+
 def with_calendar(ticks: DataFrame) -> DataFrame:
     """Add `datetime` (UTC wall clock) and `date` (UTC day) from epoch milliseconds."""
     return ticks.withColumns({
@@ -20,6 +31,7 @@ def with_calendar(ticks: DataFrame) -> DataFrame:
 def daily_bars(ticks: DataFrame) -> DataFrame:
     """One bar per series and UTC day.
 
+    Volumes and market caps add up exactly, in any order of the rows and any layout.
     Open and close are the prices at the first and last instant of the day.
     All buffers are fixed width, so this is a hash aggregate with a partial step:
     a day or a series of any size leaves each task as one row. A `date` column at hand
@@ -31,10 +43,13 @@ def daily_bars(ticks: DataFrame) -> DataFrame:
         F.max("price").alias("high"),
         F.min("price").alias("low"),
         F.max_by("price", "timestamp").alias("close"),
-        F.sum("volume").alias("volume"),
-        F.expr(half_up("avg(market_cap)", 0)).alias("market_cap"),
+        _exact_sum("volume").alias("volume"),
+        _exact_sum("market_cap").alias("_caps"),
+        F.count(F.col("market_cap").cast(EXACT)).alias("_with_cap"),
         F.count(F.lit(1)).alias("data_points"),
-    )
+    ).select(
+        "crypto_id", "date", "open", "high", "low", "close", "volume",
+        F.expr(half_up("_caps / nullif(_with_cap, 0)", 0)).alias("market_cap"), "data_points")
 
 
 def bar_counts(bars: DataFrame) -> DataFrame:

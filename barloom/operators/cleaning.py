@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.numeric import present
+from barloom.functions.time import FIRST_MS, LAST_MS
 from barloom.schema import CRITICAL, TICK_KEY
 
 
@@ -29,6 +30,14 @@ def positive_price(ticks: DataFrame) -> DataFrame:
     return ticks.filter("price > 0")
 
 
+IN_RANGE = f"timestamp BETWEEN {FIRST_MS} AND {LAST_MS}"
+
+
+def in_range(ticks: DataFrame) -> DataFrame:
+    """Keep rows whose instant lies in the years 1 to 9999; others have no day."""
+    return ticks.filter(IN_RANGE)
+
+
 def dedup_ticks(ticks: DataFrame, key: Sequence[str] = TICK_KEY) -> DataFrame:
     """One row per (timestamp, crypto_id): highest price, then volume, then market cap.
 
@@ -48,8 +57,8 @@ def dedup_ticks(ticks: DataFrame, key: Sequence[str] = TICK_KEY) -> DataFrame:
 
 
 def valid_ticks(ticks: DataFrame) -> DataFrame:
-    """Complete rows with a positive price."""
-    return positive_price(drop_incomplete(ticks))
+    """Complete rows with an instant that has a day and a positive price."""
+    return in_range(positive_price(drop_incomplete(ticks)))
 
 
 def clean_ticks(ticks: DataFrame) -> DataFrame:
@@ -70,7 +79,8 @@ def cleaning_report(ticks: DataFrame) -> DataFrame:
     per_key = ticks.groupBy(*TICK_KEY).agg(
         F.count(F.lit(1)).alias("n"),
         F.expr(f"count_if({complete})").alias("complete"),
-        F.expr(f"count_if({complete} AND price > 0)").alias("valid"),
+        F.expr(f"count_if({complete} AND {IN_RANGE})").alias("dated"),
+        F.expr(f"count_if({complete} AND {IN_RANGE} AND price > 0)").alias("valid"),
     )
 
     def total(counted: str) -> Column:
@@ -80,7 +90,8 @@ def cleaning_report(ticks: DataFrame) -> DataFrame:
     return per_key.agg(
         total("n").alias("initial_rows"),
         total("n - complete").alias("incomplete_rows"),
-        total("complete - valid").alias("non_positive_rows"),
+        total("complete - dated").alias("out_of_range_rows"),
+        total("dated - valid").alias("non_positive_rows"),
         total(f"valid - {kept}").alias("duplicate_rows"),
         total(kept).alias("final_rows"),
         total(f"n - {kept}").alias("removed_rows"),

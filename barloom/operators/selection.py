@@ -18,8 +18,18 @@ _BYTES_PER_ID = 4 * MAX_ID_LENGTH + 32
 
 
 def top_k(listing: DataFrame, k: int = FULL_PROFILE[0]) -> DataFrame:
-    """The `k` largest listings by market cap, ties by id (a top-k heap per task)."""
-    return listing.orderBy(F.desc_nulls_last("market_cap"), "id").limit(k)
+    """The `k` largest listings by market cap, ties by id (a top-k heap per task).
+
+    A market cap that is no number counts as missing, and comes last. Of several listings
+    with one id the largest counts; listings without an id do not.
+    """
+    known = listing.filter(F.col("id").isNotNull()).withColumn(
+        "market_cap", F.when(~F.isnan("market_cap"), F.col("market_cap")))
+    rest = [c for c in listing.columns if c not in ("id", "market_cap")]
+    best = F.max(F.struct("market_cap", *rest)).alias("best")
+    one = known.groupBy("id").agg(best).select(
+        *[F.col("id") if c == "id" else F.col(f"best.{c}") for c in listing.columns])
+    return one.orderBy(F.desc_nulls_last("market_cap"), "id").limit(k)
 
 
 def series_ids(listing: DataFrame) -> DataFrame:

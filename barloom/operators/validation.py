@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.functions.time import FIRST_MS, LAST_MS
 from barloom.schema import MAX_ID_LENGTH
 
 
@@ -15,6 +16,8 @@ def contract_breach() -> Column:
         .when(F.col("datetime").isNull(), "datetime is null")
         .when(F.col("crypto_id").isNull(), "crypto_id is null")
         .when(F.length("crypto_id") > MAX_ID_LENGTH, "crypto_id is too long")
+        .when(F.col("crypto_id") == "", "crypto_id is empty")
+        .when(~F.col("timestamp").between(FIRST_MS, LAST_MS), "timestamp is out of range")
     )
 
 

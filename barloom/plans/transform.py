@@ -22,12 +22,8 @@ PREVIEW = ("crypto_id", "date", "close", "ma_7d", "change_1d_pct", "volatility_7
 #              shuffle of that size follows.
 #   "by_bar"   by (crypto_id, date). Ticks are shuffled once and rolled up where they
 #              land; all copies of a bar's ticks meet in one task.
-#   "unique"   not at all, partial bars only. A promise that no (crypto_id, timestamp)
-#              occurs twice, as in a table loaded with `on_conflict="skip"`.
-LAYOUTS = ("spread", "by_bar", "unique")
-
-# Rows of one bar a task takes without ado (some 300 MB).
-ROWS_PER_TASK = 5_000_000
+# A run takes "spread" at every size; "by_bar" is for callers who know their bars.
+LAYOUTS = ("spread", "by_bar")
 
 
 def densest_bar(ticks: DataFrame) -> DataFrame:
@@ -39,11 +35,6 @@ def densest_bar(ticks: DataFrame) -> DataFrame:
     return per_bar.agg(F.coalesce(F.max("count"), F.lit(0)).alias("rows"))
 
 
-def choose_layout(ticks: DataFrame) -> str:
-    """"by_bar" if every bar is proven small enough for it, else "spread". Runs a count."""
-    return "by_bar" if densest_bar(ticks).first()["rows"] <= ROWS_PER_TASK else "spread"
-
-
 def clean_bars(ticks: DataFrame, layout: str = "spread") -> DataFrame:
     """Clean, then roll up to daily bars.
 
@@ -55,8 +46,6 @@ def clean_bars(ticks: DataFrame, layout: str = "spread") -> DataFrame:
     needed = ticks.select("timestamp", "crypto_id", "price", "volume", "market_cap")
     if layout == "spread":
         return daily_bars(clean_ticks(needed))
-    if layout == "unique":
-        return daily_bars(valid_ticks(needed))
     dated = valid_ticks(needed).withColumn("date", utc_day("timestamp"))
     in_place = dated.repartition("crypto_id", "date")
     return daily_bars(dedup_ticks(in_place, ("crypto_id", "date", "timestamp")))
@@ -76,17 +65,26 @@ def preview(metrics: DataFrame, rows: int = 15) -> DataFrame:
     return metrics.select(*PREVIEW).orderBy("crypto_id", "date").limit(rows)
 
 
+def raw_preview(ticks: DataFrame, rows: int = 5) -> DataFrame:
+    """The first raw ticks by key, whole rows; ties by price, volume and market cap."""
+    return ticks.orderBy("crypto_id", "timestamp", "price", "volume", "market_cap").limit(rows)
+
+
 def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_date: str,
-                  date: str | None = None, legacy: bool = False, layout: str | None = None,
-                  calendar: bool = False, ordered: bool = False) -> RunReport:
+                  date: str | None = None, legacy: bool = False, layout: str = "spread",
+                  calendar: bool = False, ordered: bool = False, allow_empty: bool = False) -> RunReport:
     """Read a snapshot, write its daily metrics, report.
 
-    Without a `layout` the densest bar is counted first, and decides. The raw count is read from the Parquet footers; the others come with the write.
+    An empty snapshot is an error unless `allow_empty`, so that it does not replace an
+    earlier run by nothing. The raw count is read from the Parquet footers; the others come
+    with the write.
     """
     read = read_legacy_ticks if legacy else read_ticks
     raw = read(spark, raw_root, date)
-    metrics = daily_metrics(raw, layout or choose_layout(raw), calendar)
-    path, bars, ticks = write_bars(metrics, out_root, run_date, ordered)
     loaded = raw.count()
+    if not loaded and not allow_empty:
+        raise ValueError(f"the snapshot in {raw_root} has no rows")
+    metrics = daily_metrics(raw, layout, calendar)
+    path, bars, ticks = write_bars(metrics, out_root, run_date, ordered)
     counts = {"raw": loaded, "removed": loaded - ticks, "clean": ticks, "bars": bars}
     return RunReport({"daily_prices": path}, counts)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barloom.schema import BARS, TICKS, conform
-from barloom.sources.snapshots import PARTITION
+from barloom.sources.snapshots import PARTITION, is_date, layout_of
 
 RUN_PARTITION = "run_date"
 
@@ -21,13 +21,19 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
     """Write the snapshot of `ingest_date`; returns (path, rows).
 
     By default the snapshot is replaced as a whole. `by_series` splits it by series
-    and replaces only the series at hand; use it for few series. `clustered` sorts the
+    and replaces only the series at hand; use it for few series. It refuses a folder that
+    holds a plain snapshot. `clustered` sorts the
     files by (crypto_id, timestamp), so that Parquet statistics serve lookups by series
     and time. The range covers both columns, so a large series spreads over many files.
     """
     if by_series and clustered:
         raise ValueError("choose one of by_series and clustered")
+    if not is_date(ingest_date):
+        raise ValueError(f"ingest_date is YYYY-MM-DD, not {ingest_date!r}")
     path = f"{root}/{PARTITION}={ingest_date}"
+    if by_series and "plain" in layout_of(ticks.sparkSession, path):
+        # Files above the series' folders would stay on disk and never be read.
+        raise ValueError(f"{path} is a snapshot that is not split by series; replace it as a whole")
     out = conform(ticks, TICKS)
     if clustered:
         out = out.repartitionByRange("crypto_id", "timestamp").sortWithinPartitions(
@@ -52,6 +58,8 @@ def write_bars(bars: DataFrame, root: str, run_date: str,
     `ordered` sorts the dataset as a whole by (crypto_id, date) instead. It costs a
     shuffle of the bars (not of the ticks), and a second pass over them for its ranges.
     """
+    if not is_date(run_date):
+        raise ValueError(f"run_date is YYYY-MM-DD, not {run_date!r}")
     path = f"{root}/{RUN_PARTITION}={run_date}"
     out = bars
     if ordered:

@@ -34,20 +34,25 @@ def _buckets(spark: SparkSession, table: str) -> int | None:
     return int(rows[0]["data_type"]) if rows else None
 
 
-def without_existing(ticks: DataFrame, table: DataFrame) -> DataFrame:
+def without_existing(ticks: DataFrame, table: DataFrame, buckets: int | None = None) -> DataFrame:
     """Ticks whose key is not in `table`, one per key.
 
-    Only the stretch of time the batch covers is looked up (the bounds reach the
-    statistics of the table's files), and the table's keys are made distinct before
-    they are shuffled. Both sides end up partitioned by the key, where they join.
+    Only the stretch of time the batch covers is looked up: its bounds are read first and
+    stand as literals in the filter, where the statistics of the table's files serve them.
+    The table's keys are made distinct before they are shuffled. Both sides end up
+    partitioned by the key, where they join. With the table's number of `buckets` the batch
+    is dealt like the table, and the table stays where it is; its map-side step still sends
+    one copy of a key from each task.
     """
     key = list(TICK_KEY)
-    bounds = ticks.agg(
-        F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
-    near = table.filter(
-        (F.col("timestamp") >= bounds.select("low").scalar())
-        & (F.col("timestamp") <= bounds.select("high").scalar()))
-    return dedup_ticks(ticks).join(near.select(*key).distinct(), key, "left_anti")
+    low, high = ticks.agg(F.min("timestamp"), F.max("timestamp")).first()
+    near = table.filter(F.col("timestamp").between(low, high)).select(*key)
+    batch = dedup_ticks(ticks)
+    if buckets:
+        batch = batch.repartition(buckets, *key)
+    else:
+        near = near.distinct()
+    return batch.join(near, key, "left_anti")
 
 
 def append_ticks(ticks: DataFrame, table: str, on_conflict: str = "append") -> int:
@@ -61,10 +66,10 @@ def append_ticks(ticks: DataFrame, table: str, on_conflict: str = "append") -> i
         raise ValueError(f"on_conflict is 'append' or 'skip', not {on_conflict!r}")
     spark = ticks.sparkSession
     batch = require_contract(conform(ticks, TICKS))
-    if on_conflict == "skip":
-        batch = without_existing(batch, spark.table(table))
     buckets = _buckets(spark, table)
-    if buckets:
+    if on_conflict == "skip":
+        batch = without_existing(batch, spark.table(table), buckets)
+    elif buckets:
         # One file per bucket instead of one per bucket and task.
         batch = batch.repartition(buckets, *TICK_KEY)
     seen = Observation()
@@ -81,12 +86,12 @@ def append_ticks_jdbc(ticks: DataFrame, url: str, table: str, properties: dict |
                       connections: int = 8) -> int:
     """Append ticks to a database table through JDBC; returns the number of rows sent.
 
-    The database fills its own key and load time. `connections` bounds the number of
-    writers. A task that runs again may send its rows again; let the table's own unique
+    The database fills its own key and load time. `connections` is the number of writers;
+    rows are dealt to them, so that reading and checking keep their own tasks. A task that runs again may send its rows again; let the table's own unique
     key, or a staging table, deal with that.
     """
     batch = require_contract(conform(ticks, TICKS))
     seen = Observation()
-    batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.option(
+    batch.repartition(connections).observe(seen, F.count(F.lit(1)).alias("rows")).write.option(
         "numPartitions", connections).jdbc(url, table, mode="append", properties=properties or {})
     return seen.get["rows"]

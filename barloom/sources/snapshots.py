@@ -10,6 +10,8 @@ one is opened: neither the files nor the footers of the other days are touched.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -22,6 +24,8 @@ PARTITION = "ingest_date"
 COMBINED_FILE = "all_cryptos_prices.parquet"
 SERIES_FILES = "*.parquet"
 DATE_FOLDERS = "20"
+# Fixed value: what a committed write leaves in its folder.
+FINISHED = "_SUCCESS"
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -41,10 +45,40 @@ def _folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def is_date(text: str) -> bool:
+    """Whether a text is a date as the folders carry it, YYYY-MM-DD."""
+    try:
+        return datetime.date.fromisoformat(text).isoformat() == text
+    except ValueError:
+        return False
+
+
+def layout_of(spark: SparkSession, folder: str) -> set[str]:
+    """How a snapshot folder is laid out: "series" below it, "plain" files in it, or neither."""
+    p, fs = _hadoop_path(spark, folder)
+    if not fs.exists(p):
+        return set()
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return ({"series"} if any(n.startswith("crypto_id=") for n in names) else set()) | (
+        {"plain"} if any(n.endswith(".parquet") for n in names) else set())
+
+
+def finished(spark: SparkSession, folder: str) -> bool:
+    """Whether the last write of a folder was committed.
+
+    Series are moved into their snapshot as whole folders when their write is committed.
+    """
+    return _exists(spark, f"{folder}/{FINISHED}") or "series" in layout_of(spark, folder)
+
+
 def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
-    """Dates of the snapshots under `root`, oldest first."""
+    """Dates of the finished snapshots under `root`, oldest first.
+
+    Folders that carry no date, or whose write was not committed, are passed over.
+    """
     prefix = f"{PARTITION}="
-    return [n[len(prefix):] for n in _folders(spark, root) if n.startswith(prefix)]
+    dates = [n[len(prefix):] for n in _folders(spark, root) if n.startswith(prefix)]
+    return [d for d in dates if is_date(d) and finished(spark, f"{root}/{prefix}{d}")]
 
 
 def _check_mode(on_empty: str) -> None:
@@ -62,7 +96,8 @@ def read_ticks(spark: SparkSession, root: str, date: str | None = None,
                on_empty: str = "error") -> DataFrame:
     """The snapshot of `date`, or the latest one.
 
-    `on_empty` says what a missing snapshot is: an error, or a frame without rows.
+    `on_empty` says what a missing snapshot is: an error, or a frame without rows. A
+    snapshot asked for by date that was not written to its end is always an error.
     """
     _check_mode(on_empty)
     if date is None:
@@ -73,6 +108,8 @@ def read_ticks(spark: SparkSession, root: str, date: str | None = None,
     folder = f"{root}/{PARTITION}={date}"
     if not _exists(spark, folder):
         return _nothing(spark, folder, on_empty)
+    if not finished(spark, folder):
+        raise ValueError(f"the snapshot {folder} is not finished")
     # Based on the folder itself, so that its date is no column, while a
     # `crypto_id=` level below it is one, typed by the schema.
     ticks = spark.read.schema(TICKS).option("basePath", folder).parquet(folder)

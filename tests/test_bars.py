@@ -86,24 +86,30 @@ def test_invariants(spark):
     assert b.bar_counts(bars).first()["ticks"] == b.clean_ticks(df).count()
 
 
-def test_unique_layout_on_unique_keys(spark):
-    df = ticks(spark, [("a", DAY0 + i * 1000, float(i + 1), 1.0, 1.0) for i in range(50)])
-    assert b.clean_bars(df, "unique").collect() == b.clean_bars(df, "spread").collect()
-
-
-def test_layout_follows_the_densest_bar(spark, monkeypatch):
-    from barloom.plans import transform
-
+def test_densest_bar(spark):
     df = ticks(spark, [("a", DAY0, 1.0)] * 3 + [("a", DAY0 + MS_PER_DAY, 1.0)])
     assert b.densest_bar(df).first()["rows"] == 3
-    assert b.choose_layout(df) == "by_bar"
-    monkeypatch.setattr(transform, "ROWS_PER_TASK", 2)
-    assert b.choose_layout(df) == "spread"
     with pytest.raises(ValueError):
-        b.clean_bars(df, "other")
+        b.clean_bars(df, "unique")
+
+
+def test_sums_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(5)
+    rows = [("a", DAY0 + i, 1.0, rng.random() * 10 ** rng.randrange(6), rng.random() * 1e9) for i in range(3000)]
+    seen = set()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for parts in (3, 7, 16):
+            rng.shuffle(rows)
+            for layout in ("spread", "by_bar"):
+                got = b.clean_bars(ticks(spark, rows).repartition(parts), layout).first()
+                seen.add((got["volume"], got["market_cap"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(seen) == 1
 
 
-@pytest.mark.parametrize(("layout", "shuffles"), [("spread", 3), ("by_bar", 2), ("unique", 2)])
+@pytest.mark.parametrize(("layout", "shuffles"), [("spread", 3), ("by_bar", 2)])
 def test_shuffles_of_a_run(spark, tmp_path, layout, shuffles):
     b.write_ticks(ticks(spark, [("a", DAY0, 5.0)]), str(tmp_path), "2024-01-01")
     for calendar in (False, True):
@@ -117,7 +123,7 @@ def test_shuffles_of_a_run(spark, tmp_path, layout, shuffles):
 
 def test_partial_bars_leave_a_task_as_one_row_per_day(spark):
     # One series and day, many ticks and tasks: what is shuffled is one partial bar a task.
-    df = b.clean_bars(ticks(spark, [("hot", DAY0 + i, 1.0) for i in range(5000)]), "unique")
+    df = b.clean_bars(ticks(spark, [("hot", DAY0 + i, 1.0) for i in range(5000)]))
     text = plan(df)
     assert text.index("partial_min_by") > text.index("Exchange hashpartitioning(crypto_id")
     assert by_day(df, "data_points") == [(5000,)]

@@ -61,10 +61,10 @@ def test_clean_keeps_schema(spark):
 
 def test_report_adds_up(spark):
     df = ticks(spark, [("a", 1, 5.0), ("a", 1, 6.0), ("a", 1, -1.0), ("a", 2, 0.0), (None, 2, 1.0),
-                       (None, 2, 1.0), ("a", 3, NAN), ("b", 1, 1.0)])
+                       (None, 2, 1.0), ("a", 3, NAN), ("b", 1, 1.0), ("a", DAY0 * 1_000_000, 1.0)])
     r = b.cleaning_report(df).first().asDict()
-    assert r == {"initial_rows": 8, "incomplete_rows": 3, "non_positive_rows": 2,
-                 "duplicate_rows": 1, "final_rows": 2, "removed_rows": 6}
+    assert r == {"initial_rows": 9, "incomplete_rows": 3, "out_of_range_rows": 1, "non_positive_rows": 2,
+                 "duplicate_rows": 1, "final_rows": 2, "removed_rows": 7}
     assert r["final_rows"] == b.clean_ticks(df).count()
 
 

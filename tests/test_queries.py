@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 from oracle_check import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,13 +20,14 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, con, name):
-    assert compare(spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert compare(spark, con, SF_DIR, QUERIES[name], ORACLE[name]) is None

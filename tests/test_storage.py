@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 import barloom as b
 from barloom.__main__ import main
@@ -168,12 +169,12 @@ def test_skip_existing_plan(spark, tmp_path):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        for buckets, exchanges in ((None, 2), (8, 1)):
+        for buckets, exchanges in ((None, 2), (16, 2)):  # with buckets both are the batch's
             name = table_name()
             b.create_tick_table(spark, name, str(tmp_path / name), buckets)
-            batch = spark.createDataFrame([], TICKS).repartition(3)
+            batch = ticks(spark, [("a", 1, 2.0), ("b", 2, 1.0)]).repartition(3)
             b.append_ticks(ticks(spark, [("a", 1, 1.0)]), name)
-            text = plan(b.without_existing(batch, spark.table(name)))
+            text = plan(b.without_existing(batch, spark.table(name), buckets))
             assert text.count("Exchange hashpartitioning(timestamp") == exchanges, text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -186,6 +187,32 @@ def test_bucketed_table_is_cleaned_without_a_shuffle(spark, tmp_path):
     assert count_nodes(b.clean_ticks(spark.table(name)), "Exchange") == 0
 
 
+def test_layouts_of_a_snapshot_do_not_mix(spark, tmp_path):
+    root = str(tmp_path)
+    b.write_ticks(ticks(spark, [("a", 1, 1.0), ("b", 1, 1.0)]), root, "2024-01-01")
+    with pytest.raises(ValueError, match="not split by series"):
+        b.write_ticks(ticks(spark, [("a", 1, 2.0)]), root, "2024-01-01", by_series=True)
+    assert rows(b.read_ticks(spark, root)) == [("a", 1, 1.0), ("b", 1, 1.0)]
+    b.write_ticks(ticks(spark, [("a", 1, 2.0)]), root, "2024-01-02", by_series=True)
+    b.write_ticks(ticks(spark, [("c", 1, 3.0)]), root, "2024-01-02")
+    assert rows(b.read_ticks(spark, root)) == [("c", 1, 3.0)]
+
+
+def test_unfinished_snapshot_and_bad_dates(spark, tmp_path):
+    root = str(tmp_path)
+    b.write_ticks(ticks(spark, [("a", 1, 1.0)]), root, "2024-01-01")
+    (tmp_path / "ingest_date=2024-01-02" / "_temporary").mkdir(parents=True)
+    (tmp_path / "ingest_date=zz").mkdir()
+    assert rows(b.read_ticks(spark, root)) == [("a", 1, 1.0)]
+    with pytest.raises(ValueError, match="not finished"):
+        b.read_ticks(spark, root, "2024-01-02")
+    with pytest.raises(ValueError):
+        b.write_ticks(ticks(spark, [("a", 1, 1.0)]), root, "x")
+    _, bad = b.validate_ticks(ticks(spark, [("", 1, 1.0), ("a", DAY0 * 1_000_000, 1.0)]).withColumn(
+        "datetime", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")))
+    assert sorted(r["reason"] for r in bad.collect()) == ["crypto_id is empty", "timestamp is out of range"]
+
+
 # Runs ---------------------------------------------------------------------------------
 
 def test_ingest_load_transform(spark, tmp_path):
@@ -202,7 +229,8 @@ def test_ingest_load_transform(spark, tmp_path):
     histories = b.read_history(spark, str(landed))
 
     report = b.ingest(listing, histories, raw, "2024-01-09", k=3, days=7)
-    assert report.counts == {"ticks": 14}
+    assert report.counts == {"ticks": 14, "documents_rejected": 1, "ticks_refused": 0,
+                             "ticks_before": 4, "ticks_read": 18}
     assert {r["crypto_id"] for r in b.read_ticks(spark, raw).collect()} == {"b", "c"}
 
     b.create_tick_table(spark, name, str(tmp_path / "t"))
@@ -212,7 +240,7 @@ def test_ingest_load_transform(spark, tmp_path):
 
     want = model_metrics([(c, DAY0 + d * MS_PER_DAY, float(p + d), None, None)
                           for c, p in (("b", 20), ("c", 30)) for d in range(2, 9)])
-    for options in ({}, {"layout": "unique"}, {"layout": "by_bar", "ordered": True}):
+    for options in ({}, {"layout": "by_bar", "ordered": True}):
         report = b.run_transform(spark, raw, out, "2024-01-10", **options)
         assert report.paths == {"daily_prices": f"{out}/run_date=2024-01-10"}
         assert report.counts == {"raw": 14, "removed": 0, "clean": 14, "bars": 14}
@@ -263,7 +291,7 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "docs" / "d.json").write_text(json.dumps({"id": "a", "prices": [[DAY0, 5.0]]}))
     (tmp_path / "listing.json").write_text(json.dumps({"id": "a", "market_cap": 1}))
     assert main(["ingest", "--listing", str(tmp_path / "listing.json"), "--histories",
-                 str(tmp_path / "docs"), "--raw", raw, "--date", "2024-01-01"]).counts == {"ticks": 1}
+                 str(tmp_path / "docs"), "--raw", raw, "--date", "2024-01-01"]).counts["ticks"] == 1
     assert main(["load", "--raw", raw, "--table", name, "--on-conflict", "skip"]).counts == {"ticks": 1}
     report = main(["transform", "--raw", raw, "--out", out, "--run-date", "2024-01-02"])
     assert report.counts == {"raw": 1, "removed": 0, "clean": 1, "bars": 1}

@@ -157,3 +157,21 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.max_by("cents", "event_id").alias("current_price"), F.sum("cents").alias("market_cap"))
         .select(F.col("uid").alias("id"), F.concat(F.lit("u"), "uid").alias("symbol"),
                 "current_price", "market_cap"))
+
+
+def fractional_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines by part with three different columns that are no whole cents."""
+    return table(spark, sf_dir, "lineitem").select(
+        epoch_ms("l_shipdate").alias("timestamp"), F.col("l_shipdate").alias("datetime"),
+        F.col("l_suppkey").cast("string").alias("crypto_id"), cents("l_extendedprice").alias("price"),
+        (F.col("l_quantity") + F.col("l_discount") / 3).alias("volume"),
+        (F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("market_cap"))
+
+
+def messy_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing with a second row for some ids, and caps that are no number or missing."""
+    known = listing(spark, sf_dir)
+    kind = F.col("id").cast("int") % 7
+    cap = F.when(kind == 1, F.lit(float("nan"))).when(kind != 2, F.col("market_cap"))
+    again = known.filter("cast(id as int) % 7 = 3").withColumn("market_cap", F.col("market_cap") / 2)
+    return known.withColumn("market_cap", cap).unionByName(again)

@@ -57,8 +57,10 @@ ticks AS (
 COMPLETE = ("crypto_id IS NOT NULL AND timestamp IS NOT NULL AND price IS NOT NULL "
             "AND NOT isnan(price)")
 
+DATED = "timestamp >= -62135596800000 AND timestamp <= 253402300799999"
+
 CLEAN = f"""clean AS (
-  SELECT {TICK} FROM ticks WHERE {COMPLETE} AND price > 0
+  SELECT {TICK} FROM ticks WHERE {COMPLETE} AND {DATED} AND price > 0
   QUALIFY row_number() OVER ({KEYED} ORDER BY {SURVIVOR}) = 1)"""
 
 DAY = "CAST(make_timestamp(timestamp * 1000) AS DATE)"
@@ -76,6 +78,17 @@ bars AS (
          CAST(count(*) AS BIGINT) AS data_points
   FROM ranked GROUP BY crypto_id, date)"""
 
+# Sums of fractions, in decimals of ten places.
+EXACT = "CAST(CAST(CAST({0} AS VARCHAR) AS DECIMAL(38, 17)) AS DECIMAL(38, 10))"
+EXACT_BARS = BARS.replace("sum(volume)", f"CAST(sum({EXACT.format('volume')}) AS DOUBLE)").replace(
+    "sum(market_cap)", f"CAST(sum({EXACT.format('market_cap')}) AS DOUBLE)")
+FRACTIONAL = """ticks AS (
+  SELECT epoch_us(l_shipdate) // 1000 AS timestamp, CAST(l_suppkey AS VARCHAR) AS crypto_id,
+         round(l_extendedprice * 100) AS price, l_quantity + l_discount / 3 AS volume,
+         l_extendedprice * (1 + l_tax) AS market_cap FROM lineitem)"""
+# The end of the day of the latest ingest, 2024-01-31.
+UNTIL_MS = 1706745599999
+
 # Counting bars.
 MA = ", ".join(
     _round(f"sum(close) OVER w{n} / count(*) OVER w{n}", 2) + f" AS ma_{n}d" for n in (7, 30))
@@ -108,8 +121,8 @@ CAL_MA = f"{_round('m7', 2)} AS ma_7d, {_round('m30', 2)} AS ma_30d"
 CAL_VOLATILITY = f"{_round('s7', 2)} AS volatility_7d"
 
 
-def _metrics(ticks: str) -> str:
-    return f"""WITH {ticks}, {CLEAN}, {BARS}, metrics AS (
+def _metrics(ticks: str, bars: str = BARS) -> str:
+    return f"""WITH {ticks}, {CLEAN}, {bars}, metrics AS (
       SELECT {BAR}, {MA}, {LAGS}, {VOLATILITY} FROM bars {ROWS})
     SELECT {BAR}, ma_7d, ma_30d, {CHANGES}, volatility_7d FROM metrics"""
 
@@ -182,9 +195,11 @@ ORACLE: dict[str, str] = {
     "cleaning_report": f"""WITH {DIRTY}, {CLEAN}, counted AS (
         SELECT (SELECT count(*) FROM ticks) AS a,
                (SELECT count(*) FROM ticks WHERE {COMPLETE}) AS c,
-               (SELECT count(*) FROM ticks WHERE {COMPLETE} AND price > 0) AS v,
+               (SELECT count(*) FROM ticks WHERE {COMPLETE} AND {DATED}) AS d,
+               (SELECT count(*) FROM ticks WHERE {COMPLETE} AND {DATED} AND price > 0) AS v,
                (SELECT count(*) FROM clean) AS f)
-        SELECT a AS initial_rows, a - c AS incomplete_rows, c - v AS non_positive_rows,
+        SELECT a AS initial_rows, a - c AS incomplete_rows, c - d AS out_of_range_rows,
+               d - v AS non_positive_rows,
                v - f AS duplicate_rows, f AS final_rows, a - f AS removed_rows FROM counted""",
     "tick_calendar": """SELECT epoch_us(ts) // 1000 AS timestamp, CAST(user_id AS VARCHAR) AS crypto_id,
         date_trunc('millisecond', ts) AS datetime, CAST(ts AS DATE) AS date FROM events""",
@@ -226,6 +241,26 @@ ORACLE: dict[str, str] = {
         SELECT max(n) AS rows FROM counted""",
     "metrics_preview": f"""SELECT crypto_id, date, close, ma_7d, change_1d_pct, volatility_7d
         FROM ({_metrics(BY_USER)}) ORDER BY crypto_id, date LIMIT 15""",
+    "daily_bars_fractional": f"WITH {FRACTIONAL}, {CLEAN}, {EXACT_BARS} SELECT {BAR} FROM bars",
+    "daily_metrics_fractional": _metrics(FRACTIONAL, EXACT_BARS),
+    "raw_preview": f"""WITH {BY_PART} SELECT {TICK} FROM ticks
+        ORDER BY crypto_id, timestamp, price, volume, market_cap LIMIT 5""",
+    "top_k_messy_listing": f"""WITH {EVENTS}, {LISTING}, capped AS (
+          SELECT id, symbol, current_price,
+                 CASE WHEN CAST(id AS INT) % 7 IN (1, 2) THEN NULL ELSE market_cap END AS market_cap
+          FROM listing)
+        SELECT * FROM capped ORDER BY market_cap DESC NULLS LAST, id LIMIT 20""",
+    "lookback_until": f"""WITH {BY_USER} SELECT {TICK} FROM ticks
+        WHERE timestamp > {HALF_WAY_MS} - 7 * CAST(86400000 AS BIGINT) AND timestamp <= {HALF_WAY_MS}""",
+    "latest_finished_snapshot": f"{_BY_USER} WHERE timestamp < {HALF_WAY_MS}",
+    "load_nothing": f"{_BY_USER} WHERE FALSE",
+    "ingest_counts": f"""WITH {EXPLODED}, {_top(5)}, chosen AS (
+            SELECT * FROM exploded WHERE crypto_id IN (SELECT id FROM top)),
+          counted AS (SELECT count(*) AS n, count(*) FILTER (timestamp > {UNTIL_MS} - 7 * CAST(86400000 AS BIGINT)
+                      AND timestamp <= {UNTIL_MS}) AS w, count(*) FILTER (timestamp > {UNTIL_MS}) AS l FROM chosen)
+        SELECT w AS ticks, (SELECT count(*) FROM docs WHERE i = 1 AND reason IS NOT NULL
+                            AND uid IN (SELECT id FROM top)) AS documents_rejected,
+               l AS ticks_refused, n - w - l AS ticks_before, n AS ticks_read FROM counted""",
     "explode_history": _EXPLODED,
     "history_points": f"""WITH {DOCS}
         SELECT uid AS id, CAST(sum(CASE WHEN k >= 5 THEN 1 ELSE 0 END) AS BIGINT) AS points
@@ -267,7 +302,7 @@ ORACLE: dict[str, str] = {
     "ingest_top_k": f"""WITH {EXPLODED}, {_top(5)}, chosen AS (
             SELECT * FROM exploded WHERE crypto_id IN (SELECT id FROM top))
         SELECT {TICK} FROM chosen
-        WHERE timestamp > (SELECT max(timestamp) FROM chosen) - 7 * CAST(86400000 AS BIGINT)""",
+        WHERE timestamp > {UNTIL_MS} - 7 * CAST(86400000 AS BIGINT) AND timestamp <= {UNTIL_MS}""",
     "written_bars": _DIRTY_METRICS,
     "run_counts": f"""WITH {DIRTY}, {CLEAN}, {BARS}, counted AS (
         SELECT (SELECT count(*) FROM ticks) AS raw, (SELECT count(*) FROM clean) AS clean,

@@ -164,8 +164,8 @@ def calendar_metrics_by_part(spark, sf):
 
 @_query
 def daily_metrics_unique_keys(spark, sf):
-    # The events have one row per user and instant, so the promise holds.
-    return b.daily_metrics(a.ticks_by_user(spark, sf), "unique")
+    # The events have one row per user and instant: nothing to drop.
+    return b.daily_metrics(a.ticks_by_user(spark, sf))
 
 
 @_query
@@ -188,6 +188,21 @@ def metrics_preview(spark, sf):
     return b.preview(b.daily_metrics(a.ticks_by_user(spark, sf)), 15)
 
 
+@_query
+def daily_bars_fractional(spark, sf):
+    return b.clean_bars(a.fractional_ticks(spark, sf))
+
+
+@_query
+def daily_metrics_fractional(spark, sf):
+    return b.daily_metrics(a.fractional_ticks(spark, sf))
+
+
+@_query
+def raw_preview(spark, sf):
+    return b.raw_preview(a.ticks_by_part(spark, sf)).select(*TICK)
+
+
 # History documents ------------------------------------------------------------------
 
 @_query
@@ -241,6 +256,19 @@ def listing_json(spark, sf):
     return b.read_listing(spark, folder)
 
 
+@_query
+def top_k_messy_listing(spark, sf):
+    return b.top_k(a.messy_listing(spark, sf), b.FULL_PROFILE[0])
+
+
+@_query
+def lookback_until(spark, sf):
+    # The last tick of each user is moved far into the future.
+    ticks = a.ticks_by_user(spark, sf)
+    late = ticks.withColumn("timestamp", F.col("timestamp") + F.lit(1000 * 86_400_000).cast("long"))
+    return b.lookback(b.union_ticks([ticks, late]), b.SMALL_PROFILE[1], HALF_WAY_MS).select(*TICK)
+
+
 @_query
 def restrict_to_top_k(spark, sf):
     return b.restrict_to_top_k(a.ticks_by_user(spark, sf), a.listing(spark, sf)).select(*TICK)
@@ -295,6 +323,24 @@ def snapshot_by_series(spark, sf):
     return b.read_ticks(spark, root).select(*TICK)
 
 
+@_query
+def latest_finished_snapshot(spark, sf):
+    # The newest folder was not written to its end.
+    root = scratch_folder(spark)
+    ticks = a.ticks_by_user(spark, sf)
+    b.write_ticks(ticks.filter(F.col("timestamp") < HALF_WAY_MS), root, OLDER)
+    ticks.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{root}/ingest_date={LATEST}")
+    return b.read_ticks(spark, root).select(*TICK)
+
+
+@_query
+def load_nothing(spark, sf):
+    # No snapshot at all: an empty frame in the shape of the given ticks.
+    ticks = a.ticks_by_user(spark, sf)
+    return b.read_ticks(spark, scratch_folder(spark), on_empty="empty").select(*ticks.columns).select(*TICK)
+
+
 def _legacy(spark, sf, combined: bool):
     folder = scratch_folder(spark)
     ticks = a.ticks_by_type(spark, sf).drop("datetime")
@@ -371,6 +417,16 @@ def ingest_top_k(spark, sf):
     return b.read_ticks(spark, root).select(*TICK)
 
 
+@_query
+def ingest_counts(spark, sf):
+    root = scratch_folder(spark)
+    k, days = b.SMALL_PROFILE
+    c = b.ingest(a.listing(spark, sf), a.histories(spark, sf), root, LATEST, k, days).counts
+    return spark.createDataFrame(
+        [(c["ticks"], c["documents_rejected"], c["ticks_refused"], c["ticks_before"], c["ticks_read"])],
+        "ticks bigint, documents_rejected bigint, ticks_refused bigint, ticks_before bigint, ticks_read bigint")
+
+
 def _run(spark, sf, **options):
     root = scratch_folder(spark)
     raw, out = f"{root}/raw", f"{root}/processed"
