@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +18,14 @@ from .common import columns_of, head_of, id_crc, id_text, stored, table, words_o
 SIDE = 16  # super-classes, and classes of each
 CLASSES = SIDE * SIDE
 OWN = CLASSES // 2  # classes of one frequent token each; the others are by the word's end
-HASHED = 2048
-FEATURES = 3 * HASHED + CLASSES + 1
+_HASHED_BITS = 11
+HASHED = 1 << _HASHED_BITS
+FEATURES = 3 * HASHED + CLASSES
 HEAD_ENTRIES = 1 << 18
 HEAD_BYTES = 64
 BATCH = 16_384
 RATE = 0.15
+LIMIT = 12.0  # of a weight, so that sums of four are within exp's range
 ROUNDS = 2
 END = ""  # the key of the end token; no word is empty
 _PART = 128
@@ -45,10 +48,10 @@ class Codes(dict):
 
 
 def _events(docs: list[list[bytes]], codes: Codes) -> tuple[np.ndarray, np.ndarray]:
-    """Features (tokens, 5) and classes of all tokens of the documents, ends included.
+    """Features (4, tokens) and classes of all tokens of the documents, ends included.
 
     Features: the word before, the word two before (a skip), the classes of both as a pair,
-    the class three before (a skip), and a constant.
+    and the class three before (a skip).
     """
     if len(codes) > _CACHE:
         codes.clear()
@@ -59,16 +62,15 @@ def _events(docs: list[list[bytes]], codes: Codes) -> tuple[np.ndarray, np.ndarr
         flat.extend(map(codes.__getitem__, words))
         flat.append(0)
     code = np.array(flat, np.int32)
-    kind, h = code // HASHED, code % HASHED
-    pair = (kind[2:-1] * 40_503 + kind[1:-2] * 9_973) % HASHED
-    events = np.stack([h[2:-1], HASHED + h[1:-2], 2 * HASHED + pair, 3 * HASHED + kind[:-3],
-                       np.full(len(code) - 3, FEATURES - 1, np.int32)], axis=1)
+    kind, h = code >> _HASHED_BITS, code & (HASHED - 1)
+    pair = (kind[2:-1] * 40_503 + kind[1:-2] * 9_973) & (HASHED - 1)
+    events = np.stack([h[2:-1], HASHED + h[1:-2], 2 * HASHED + pair, 3 * HASHED + kind[:-3]])
     lengths = np.array([len(w) + 4 for w in docs])
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     target = np.ones(len(code), bool)
     target[(starts[:, None] + np.arange(3)).ravel()] = False
     target = target[3:]
-    return events[target], kind[3:][target]
+    return events[:, target], kind[3:][target]
 
 
 class MaxEnt:
@@ -79,40 +81,50 @@ class MaxEnt:
         self.upper = np.zeros((FEATURES, SIDE), np.float32) if upper is None else upper
         self.lower = np.zeros((FEATURES * SIDE, SIDE), np.float32) if lower is None else lower
 
-    def _softmax(self, weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        z = weights[rows[:, 0]]
-        for j in range(1, rows.shape[1]):
-            z += weights[rows[:, j]]
-        z -= z.max(axis=1, keepdims=True)
-        e = np.exp(z)
-        total = e.sum(axis=1, keepdims=True)
-        return z - np.log(total), e / total
+    def _logits(self, weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        z = weights.take(rows[0], axis=0)
+        for r in rows[1:]:
+            z += weights.take(r, axis=0)
+        return z
 
     def log_probability(self, events: np.ndarray, classes: np.ndarray) -> np.ndarray:
         out = np.empty(len(classes))
         for lo in range(0, len(classes), BATCH):
-            x, k = events[lo:lo + BATCH], classes[lo:lo + BATCH]
+            x, k = events[:, lo:lo + BATCH], classes[lo:lo + BATCH]
             n = np.arange(len(k))
-            a, _ = self._softmax(self.upper, x)
-            b, _ = self._softmax(self.lower, x * SIDE + (k // SIDE)[:, None])
-            out[lo:lo + BATCH] = a[n, k // SIDE] + b[n, k % SIDE]
+            a = self._logits(self.upper, x)
+            b = self._logits(self.lower, x * SIDE + k // SIDE)
+            # weights stay small, so exp needs no shift
+            out[lo:lo + BATCH] = a[n, k // SIDE] + b[n, k % SIDE] - np.log(
+                np.exp(a).sum(axis=1) * np.exp(b).sum(axis=1))
         return out
 
     def step(self, events: np.ndarray, classes: np.ndarray, seen: tuple[np.ndarray, np.ndarray]) -> None:
-        """One gradient step (AdaGrad by row) on a batch."""
-        n = np.arange(len(classes))
-        for weights, memory, rows, target in (
-                (self.upper, seen[0], events, classes // SIDE),
-                (self.lower, seen[1], events * SIDE + (classes // SIDE)[:, None], classes % SIDE)):
-            _, g = self._softmax(weights, rows)
-            g[n, target] -= 1
-            for j in range(rows.shape[1]):
-                order = np.argsort(rows[:, j], kind="stable")
-                own = rows[order, j]
-                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-                touched, total = own[first], np.add.reduceat(g[order], first, axis=0)
-                memory[touched] += (total * total).mean(axis=1)
-                weights[touched] -= RATE * total / np.sqrt(memory[touched] + 1e-6)[:, None]
+        """One gradient step (AdaGrad by row) on a batch. Gradients are summed by row of the
+        lower level first; those sums, far fewer, are summed by row of the upper level."""
+        n, side = np.arange(len(classes)), classes // SIDE
+        g = np.empty((len(classes), 2 * SIDE), np.float32)
+        np.exp(self._logits(self.upper, events), out=g[:, :SIDE])
+        np.exp(self._logits(self.lower, events * SIDE + side), out=g[:, SIDE:])
+        g[:, :SIDE] /= g[:, :SIDE].sum(axis=1, keepdims=True)
+        g[:, SIDE:] /= g[:, SIDE:].sum(axis=1, keepdims=True)
+        g[n, side] -= 1
+        g[n, SIDE + classes % SIDE] -= 1
+        for j, x in enumerate(events):
+            # 16-bit keys: sorted by counting
+            order = np.argsort(((x - j * HASHED) * SIDE + side).astype(np.uint16), kind="stable")
+            own = (x * SIDE + side)[order]
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            total = np.add.reduceat(g.take(order, axis=0), first, axis=0)
+            self._move(self.lower, seen[1], own[first], total[:, SIDE:])
+            own = own[first] // SIDE
+            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            self._move(self.upper, seen[0], own[first], np.add.reduceat(total[:, :SIDE], first, axis=0))
+
+    @staticmethod
+    def _move(weights: np.ndarray, memory: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
+        memory[rows] += (g * g).mean(axis=1)
+        weights[rows] = np.clip(weights[rows] - RATE * g / np.sqrt(memory[rows] + 1e-6)[:, None], -LIMIT, LIMIT)
 
 
 def _trained(state, own):
@@ -127,7 +139,7 @@ def _trained(state, own):
         def learn():
             x, k = _events(held, codes)
             for lo in range(0, len(k), BATCH):
-                model.step(x[lo:lo + BATCH], k[lo:lo + BATCH], seen)
+                model.step(x[:, lo:lo + BATCH], k[lo:lo + BATCH], seen)
             hits[:] += np.bincount(x.ravel(), minlength=FEATURES)
 
         for (texts,) in columns_of(batches, "text"):
@@ -139,7 +151,7 @@ def _trained(state, own):
                     held, size = [], 0
         if held:
             learn()
-        if hits[-1]:
+        if hits.any():
             both = np.concatenate([model.upper, model.lower.reshape(FEATURES, -1)], axis=1)
             for part in range(0, FEATURES, _PART):
                 yield pa.RecordBatch.from_arrays([
@@ -228,7 +240,7 @@ def _scored(state, own, head, unknown_base: float):
                 log_p = np.add.reduceat(model.log_probability(x, k), np.concatenate(([0], np.cumsum(lengths)[:-1])))
                 out: tuple[list, ...] = ([], [], [], [], [], [], [], [], [])
                 for i, words, n, p in zip(ids[lo:lo + 256], docs, lengths.tolist(), log_p.tolist(), strict=True):
-                    found = np.fromiter(map(place.get, words, _missing()), np.int64, len(words))
+                    found = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
                     rare = Counter([words[j] for j in np.flatnonzero(found < 0)])
                     known = np.append(found[found >= 0], place.get(b"", -1))
                     known = known[known >= 0]
@@ -251,11 +263,6 @@ def _scored(state, own, head, unknown_base: float):
     return run
 
 
-def _missing() -> Iterator[int]:
-    while True:
-        yield -1
-
-
 def score(docs: DataFrame, training: Column | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_tokens, n_known, train_tokens, base_score, score (log10).
 
