@@ -5,7 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -114,17 +114,36 @@ class MaxEnt:
             # 16-bit keys: sorted by counting
             order = np.argsort(((x - j * HASHED) * SIDE + side).astype(np.uint16), kind="stable")
             own = (x * SIDE + side)[order]
-            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            total = np.add.reduceat(g.take(order, axis=0), first, axis=0)
-            self._move(self.lower, seen[1], own[first], total[:, SIDE:])
-            own = own[first] // SIDE
-            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            self._move(self.upper, seen[0], own[first], np.add.reduceat(total[:, :SIDE], first, axis=0))
+            own, total = _sums(own, g.take(order, axis=0))
+            self._move(self.lower, seen[1], own, total[:, SIDE:])
+            self._move(self.upper, seen[0], *_sums(own // SIDE, total[:, :SIDE]))
 
     @staticmethod
     def _move(weights: np.ndarray, memory: np.ndarray, rows: np.ndarray, g: np.ndarray) -> None:
-        memory[rows] += (g * g).mean(axis=1)
-        weights[rows] = np.clip(weights[rows] - RATE * g / np.sqrt(memory[rows] + 1e-6)[:, None], -LIMIT, LIMIT)
+        m = memory.take(rows) + np.einsum("ij,ij->i", g, g) / SIDE
+        memory[rows] = m
+        w = weights.take(rows, axis=0)
+        w -= g * (RATE / np.sqrt(m + 1e-6))[:, None]
+        weights[rows] = np.clip(w, -LIMIT, LIMIT, out=w)
+
+
+def _sums(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of sorted ones, and the sums of their rows.
+
+    Most keys have few rows, which are added column-wise in step; only longer runs are reduced
+    one by one.
+    """
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    length = np.diff(first, append=len(keys))
+    total = rows.take(first, axis=0)
+    for i in (1, 2, 3):
+        at = np.flatnonzero((length > i) & (length <= 4))
+        total[at] += rows.take(first[at] + i, axis=0)
+    many = length > 4
+    if many.any():
+        ends = np.cumsum(length[many])
+        total[many] = np.add.reduceat(rows[np.repeat(many, length)], np.concatenate(([0], ends[:-1])), axis=0)
+    return keys[first], total
 
 
 def _trained(state, own):
@@ -231,6 +250,7 @@ def _scored(state, own, head, unknown_base: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, codes = MaxEnt(*state.value), Codes(own.value)
         place, base, within = head.value
+        end = place.get(END.encode())
         at = TaskContext.get().partitionId() << 36
         for ids, texts in columns_of(batches, "doc_id", "text"):
             for lo in range(0, len(ids), 256):
@@ -238,28 +258,38 @@ def _scored(state, own, head, unknown_base: float):
                 x, k = _events(docs, codes)
                 lengths = np.array([len(d) + 1 for d in docs])
                 log_p = np.add.reduceat(model.log_probability(x, k), np.concatenate(([0], np.cumsum(lengths)[:-1])))
-                out: tuple[list, ...] = ([], [], [], [], [], [], [], [], [])
-                for i, words, n, p in zip(ids[lo:lo + 256], docs, lengths.tolist(), log_p.tolist(), strict=True):
-                    found = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
-                    rare = Counter([words[j] for j in np.flatnonzero(found < 0)])
-                    known = np.append(found[found >= 0], place.get(b"", -1))
-                    known = known[known >= 0]
-                    out[0].extend([at] * (1 + len(rare)))
-                    out[1].extend([i] + [None] * len(rare))
-                    out[2].extend([n] + [0] * len(rare))
-                    out[3].extend([len(known)] + [0] * len(rare))
-                    out[4].extend([float(base[known].sum())] + [0.0] * len(rare))
-                    out[5].extend([p / np.log(10) + float(within[known].sum())] + [0.0] * len(rare))
-                    out[6].extend([b"\0%d" % at, *rare])
-                    out[7].extend([0, *rare.values()])
-                    out[8].extend([0, *(codes[w] // HASHED for w in rare)])
-                    at += 1
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                         pa.binary(), pa.int64(), pa.int32())
-                arrays = [pa.array(c, t) for c, t in zip(out, kinds, strict=True)]
-                arrays[6] = arrays[6].cast(pa.string())
-                yield pa.RecordBatch.from_arrays(arrays, [
-                    "row", "doc_id", "n_tokens", "known", "base", "score", "token", "times", "class"])
+                flat = list(chain.from_iterable(docs))
+                of = np.repeat(np.arange(len(docs)), lengths - 1)
+                found = np.fromiter(map(place.get, flat, repeat(-1)), np.int64, len(flat))
+                frequent = found >= 0
+                hit, of_hit = found[frequent], of[frequent]
+                known = np.bincount(of_hit, minlength=len(docs))
+                base_score = np.bincount(of_hit, base[hit], len(docs))
+                score = np.bincount(of_hit, within[hit], len(docs)) + log_p / np.log(10)
+                if end is not None:
+                    known, base_score, score = known + 1, base_score + base[end], score + within[end]
+                others = np.flatnonzero(~frequent)
+                cuts = np.searchsorted(of[others], np.arange(len(docs) + 1)).tolist()
+                rare = [flat[j] for j in others.tolist()]
+                tokens: list[bytes] = [b"\0%d" % (at + i) for i in range(len(docs))]
+                times, distinct = [0] * len(docs), []
+                for i in range(len(docs)):
+                    own_rare = Counter(rare[cuts[i]:cuts[i + 1]])
+                    tokens.extend(own_rare)
+                    times.extend(own_rare.values())
+                    distinct.append(len(own_rare))
+                n = len(tokens) - len(docs)
+                rows = np.arange(at, at + len(docs))
+                at += len(docs)
+                none, nothing = np.zeros(n, np.int64), np.zeros(n)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate((rows, np.repeat(rows, distinct)))),
+                    pa.array(ids[lo:lo + 256] + [None] * n, pa.int64()),
+                    pa.array(np.concatenate((lengths, none))), pa.array(np.concatenate((known, none))),
+                    pa.array(np.concatenate((base_score, nothing))), pa.array(np.concatenate((score, nothing))),
+                    pa.array(tokens, pa.binary()).cast(pa.string()), pa.array(times, pa.int64()),
+                    pa.array([0] * len(docs) + [codes[w] >> _HASHED_BITS for w in tokens[len(docs):]], pa.int32())],
+                    ["row", "doc_id", "n_tokens", "known", "base", "score", "token", "times", "class"])
     return run
 
 
