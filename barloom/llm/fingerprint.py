@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,67 +10,91 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, table, words_of, worker_cache
+from .common import columns_of, table, worker_cache
+from .jaccard import _M1, _M2, _mixed, _ngrams, _word_hashes
 
 SAMPLES = 128
-BUCKETS = 1 << 15
 SHINGLE = 3
 SEED = 20_240_601
+_BLOCK = 512
 
 
 class Sampler:
     """Signatures whose collision rate is the generalised Jaccard similarity (sum of minima
     over sum of maxima) of two texts' weighted terms.
 
-    A term is a word n-gram (A-Z in lower case), hashed into BUCKETS; its weight is how often
-    it occurs. For sample k and term i, r and c are Gamma(2, 1) and beta is uniform on (0, 1),
-    the same in every text. With t = floor(ln w / r + beta) and ln y = r (t - beta), the term
-    with the least ln c - ln y - r is drawn, and (i, t) is the sample. All terms of weight 1,
-    most of them, need one look-up each.
+    A term is the 64-bit hash of a word n-gram (A-Z in lower case); its weight is how often it
+    occurs. For sample k and term i, r and c are Gamma(2, 1) and beta is uniform on (0, 1), the
+    same in every text. With t = floor(ln w / r + beta) and ln y = r (t - beta), the term with
+    the least ln c - ln y - r is drawn, and (i, t) is the sample.
+
+    They come from three exponentials e, f, q, drawn by a hash of (k, i): c = e + f,
+    r = ln(c / e) + q, beta = q / r have just these distributions, and the value becomes
+    ln e - r t. A term of weight 1 has t = 0, so most terms need one draw and no logarithm.
     """
 
     def __init__(self, samples: int = SAMPLES, shingle: int = SHINGLE, seed: int = SEED):
         rng = np.random.Generator(np.random.PCG64(seed))
         self.samples, self.shingle = samples, shingle
-        shape = (BUCKETS, samples)
-        self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
-        self.beta = rng.random(shape, dtype=np.float32)
-        self.once = self._drawn(slice(None), np.zeros((1, 1), np.float32))
-
-    def _drawn(self, terms, log_w: np.ndarray) -> np.ndarray:
-        r, beta = self.r[terms], self.beta[terms]
-        return self.log_c[terms] - r * (np.floor(log_w / r + beta) - beta) - r
+        self.keys = rng.integers(0, 1 << 32, (3, samples, 1), np.uint32)
+        self.each = np.arange(samples)
+        self.room = np.empty((2, samples * _BLOCK), np.uint32)
 
     def terms(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        h = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
-        size = min(self.shingle, len(h))
-        out = np.zeros(len(h) - size + 1, np.uint32)
-        for i in range(size):
-            out = (out ^ (out >> np.uint32(13))) * np.uint32(0x9E3779B1) + h[i:len(h) - size + 1 + i]
-        out = (out ^ (out >> np.uint32(16))) * np.uint32(0x85EBCA6B)
-        return np.unique(out >> np.uint32(17), return_counts=True)
+        h = _word_hashes(text)
+        if not len(h):
+            return h, np.zeros(0, np.int64)
+        return np.unique(_ngrams(h, self.shingle), return_counts=True)
+
+    def _draw(self, which: int, terms: np.ndarray) -> np.ndarray:
+        """32 random bits for each (sample, term), all 64 bits of the term mixed in; in a room
+        that the next draw takes."""
+        low, high = terms.astype(np.uint32), (terms >> np.uint64(32)).astype(np.uint32)
+        x, y = (r[:self.samples * len(terms)].reshape(self.samples, -1) for r in self.room)
+        np.bitwise_xor(low, self.keys[which], out=x)
+        for shift, by in ((15, 0x2C1B3C6D), (13, 0x85EBCA6B), (16, 0x9E3779B1)):
+            np.multiply(x, np.uint32(by), out=x)
+            np.bitwise_xor(x, np.right_shift(x, np.uint32(shift), out=y), out=x)
+            if shift == 15:
+                np.add(x, high, out=x)
+        return x
+
+    @staticmethod
+    def _exponential(bits: np.ndarray) -> np.ndarray:
+        return -np.log1p(-(bits + 0.5) / 2.0**32)
+
+    def _once(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The least values of terms of weight 1, and whose they are."""
+        least, own = np.full(self.samples, 0xFFFFFFFF, np.uint32), np.full(self.samples, terms[0])
+        for lo in range(0, len(terms), _BLOCK):
+            x = self._draw(0, terms[lo:lo + _BLOCK])
+            at = x.argmin(axis=1)
+            found = x[self.each, at]
+            less = found < least
+            least[less], own[less] = found[less], terms[lo + at[less]]
+        return np.log(self._exponential(least)), own
 
     def signature(self, text: str) -> np.ndarray:
         """16 bits for each sample; all ones for a text without words."""
-        at, w = self.terms(text)
-        if not len(at):
+        terms, w = self.terms(text)
+        if not len(terms):
             return np.full(self.samples, 0xFFFF, np.uint16)
-        best = np.full(self.samples, np.inf, np.float32)
-        one, more = at[w == 1], at[w > 1]
-        log_w = np.log(w[w > 1]).astype(np.float32)[:, None]
-        for lo in range(0, len(one), 512):
-            np.minimum(best, self.once[one[lo:lo + 512]].min(axis=0), out=best)
-        for lo in range(0, len(more), 512):
-            np.minimum(best, self._drawn(more[lo:lo + 512], log_w[lo:lo + 512]).min(axis=0), out=best)
-        # the least value stands for its (term, t), and goes to 16 bits: unequal samples meet
-        # with a chance of 1 in 65,536
-        found = best.view(np.uint32)
-        found = (found ^ (found >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-        return (found >> np.uint32(16)).astype(np.uint16)
+        one, more, log_w = terms[w == 1], terms[w > 1], np.log(w[w > 1])
+        best, own, level = np.full(self.samples, np.inf), np.full(self.samples, terms[0]), np.zeros(self.samples)
+        if len(one):
+            best, own = self._once(one)
+        for lo in range(0, len(more), _BLOCK):
+            some = more[lo:lo + _BLOCK]
+            e, f, q = (self._exponential(self._draw(i, some)) for i in range(3))
+            r = np.log1p(f / e) + q
+            t = np.floor((log_w[lo:lo + _BLOCK] + q) / r)
+            value = np.log(e) - r * t
+            at = value.argmin(axis=1)
+            found = value[self.each, at]
+            less = found < best
+            best[less], own[less], level[less] = found[less], some[at[less]], t[self.each, at][less]
+        # (term, t) goes to 16 bits: unequal samples meet with a chance of 1 in 65,536
+        return (_mixed(_mixed(own, _M1) + level.astype(np.uint64), _M2) >> np.uint64(48)).astype(np.uint16)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

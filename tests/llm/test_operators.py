@@ -168,6 +168,15 @@ def test_collision_rate_is_generalised_jaccard():
     assert abs(got - want) < 0.04
 
 
+def test_long_unrelated_texts_are_unlike():
+    rng = random.Random(12)
+    sampler = fingerprint.Sampler()
+    a, b = (" ".join(f"{x}{rng.getrandbits(60):x}" for _ in range(100_000)) for x in "ab")
+    assert fingerprint.likeness(sampler.signature(a), sampler.signature(b)) < 0.03
+    half = a[:len(a) // 2] + " " + b[len(b) // 2:]
+    assert abs(fingerprint.likeness(sampler.signature(a), sampler.signature(half)) - 1 / 3) < 0.15
+
+
 def test_mixing_meets_its_targets(spark):
     rng = random.Random(5)
     source = [rng.choice(["a", "b", "c", None, "a", "a"]) for _ in range(600)]
