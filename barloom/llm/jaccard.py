@@ -31,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import columns_of, id_text, stored, table, words_of
 
@@ -303,8 +304,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     many. Repeated rows stay, in one component. Null ids sort after all others. An empty
     table gives an empty result.
     """
-    spark = docs.sparkSession
-    texts = id_text(docs, id_col, text_col)
+    return _labelled(*_found_and_roots(id_text(docs, id_col, text_col), n, percent))
+
+
+def _found_and_roots(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, node, n_shingles, cells) of all texts, and (node, root) of the linked nodes."""
+    spark = texts.sparkSession
     counts = spark.sparkContext.broadcast(word_counts(texts))
     found = stored(texts.mapInArrow(
         _sets(n, percent, counts), "doc_id long, node long, n_shingles long, cells array<long>"))
@@ -338,13 +343,18 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
         roots = roots.select("node", F.col("root").alias("_r")).join(
             upper.select(F.col("node").alias("_r"), F.col("root").alias("_top")), "_r", "left").select(
             "node", F.coalesce("_top", "_r").alias("root")).union(extra)
-    return _labelled(found, roots)
+    return found, roots
+
+
+def _least_ids(found: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, least, root): the least id of each node."""
+    return found.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least")).join(
+        roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
 
 
 def _labelled(found: DataFrame, roots: DataFrame) -> DataFrame:
     full = found.where("node is not null").select("doc_id", "n_shingles", "node")
-    least = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").select(
-        "node", "least", F.coalesce("root", "node").alias("root"))
+    least = _least_ids(found, roots)
     tops = least.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = least.join(tops, "root").select("node", "component_id")
     return full.join(by_node, "node").select("doc_id", "n_shingles", "component_id", "node").union(
@@ -356,11 +366,42 @@ def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def _with_nodes(n: int, text_col: str):
+    """The rows with their node; blank ones with a hash of the text and `_blank`."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            nodes, blank = [], []
+            for t in texts:
+                s = shingles(t or "", n)
+                blank.append(not len(s))
+                nodes.append(_digest(s) if len(s) else -1 if t is None else xxhash.xxh3_64_intdigest(
+                    t.encode("utf-8", "surrogatepass")) >> 1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(nodes, pa.int64()), pa.array(blank, pa.bool_())],
+                [*batch.schema.names, "_node", "_blank"])
+    return run
+
+
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without the later ones of each component; all columns, one row an id."""
-    first = jaccard_components(docs, n, percent).where(
-        F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each component, all columns: that of the least doc_id (null ids last), of
+    those the least node. Rows of one id with unlike texts are in components of their own, and
+    each stays; so do null ids. Of rows equal in id and node one stays, the same in any order of
+    the rows. Blank texts stay, but for rows equal in id and text.
+    """
+    id_is_null, key = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    keys = ["_null", "_key", "_node"]
+    least = _least_ids(*_found_and_roots(id_text(docs), n, percent))
+    first = stored(least.groupBy("root").agg(
+        F.min(F.struct(F.col("least").isNull().alias("_null"), F.coalesce("least", F.lit(0)).alias("_key"),
+                       F.col("node").alias("_node"))).alias("of")).select("of.*", F.lit(True).alias("_first")))
+    nodes = T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType()), T.StructField("_blank", T.BooleanType())])
+    rows = docs.mapInArrow(_with_nodes(n, "text"), nodes)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # one shuffle of the texts: combined by task, then joined where they lie
+    one = rows.withColumn("_null", id_is_null).withColumn("_key", key).groupBy(keys).agg(
+        F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row"), F.max("_blank").alias("_blank"))
+    return one.join(first, keys, "left").where("_blank or _first").select("_row.*")
 
 
 ORACLE_OP3 = r"""

@@ -74,6 +74,25 @@ def test_jaccard_components_equal_brute_force(spark, texts, n, percent):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(root)) and kept.columns[-1] == "token"
 
 
+def test_keep_one_keeps_unlike_texts_of_null_and_repeated_ids(spark):
+    rng = random.Random(13)
+    unlike = [" ".join(f"w{rng.getrandbits(40):x}" for _ in range(60)) for _ in range(13)]
+    rows = [(None, t) for t in unlike[:5]] + [(7, t) for t in unlike[5:8]] + [(i, t) for i, t in enumerate(unlike[8:])]
+    want = [*rows, (None, "  "), (None, None), (7, ""), (8, "")]
+    more = [(None, unlike[0]), (9, unlike[5]), (7, unlike[5]), (None, unlike[8] + " z"), (7, unlike[5].upper()),
+            (None, "  "), (8, "")]
+    some = want + more
+
+    def kept(order):
+        docs = spark.createDataFrame([(i, t, "s") for i, t in order], "doc_id long, text string, source string")
+        return Counter(map(tuple, jaccard.keep_one(docs.repartition(5)).collect()))
+
+    got = kept(some)
+    assert got == kept(some[::-1])
+    assert Counter((i, (t or "").lower(), t is None) for i, t, _ in got.elements()) == Counter(
+        (i, (t or "").lower(), t is None) for i, t in want)
+
+
 def test_jaccard_chains_within_a_cell(spark):
     # Each text differs from the next by one word: linked in a chain, the ends are not.
     rng = random.Random(2)
