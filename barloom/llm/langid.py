@@ -15,6 +15,7 @@ from .common import columns_of, id_crc, id_text, table
 ORDER = 3
 MAX_NODES = 200_000
 MAX_LANGUAGES = 512
+SLACK_BITS = 64
 _SLOT_BITS = 21
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -223,18 +224,49 @@ def identify(docs: DataFrame, model: ByteModel, id_col: str = "doc_id", text_col
         run, "doc_id long, lang_pred string, score double, bits_per_byte double")
 
 
+def rate_limits(docs: DataFrame, model: ByteModel, text_col: str = "text", lang_col: str = "lang",
+                quantile: float = 0.99, times: float = 2.0) -> dict[str, float]:
+    """By language, `times` the quantile of bits a byte over all its training texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+
+    def run(batches):
+        frozen = ByteModel.of(shared.value)
+        for langs, texts in columns_of(batches, "lang", "text"):
+            names, _, rates = frozen.predict(texts)
+            own = [i for i, (a, b) in enumerate(zip(langs, names, strict=True)) if a == b]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[i] for i in own], pa.string()), pa.array(rates[own], pa.float64())], ["lang", "rate"])
+
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    found = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).mapInArrow(
+        run, "lang string, rate double").groupBy("lang").agg(F.percentile_approx("rate", quantile).alias("rate"))
+    return {r["lang"]: times * r["rate"] for r in found.collect()}
+
+
 def keep_identified(docs: DataFrame, model: ByteModel, text_col: str = "text",
-                    min_score: float = 0.5) -> DataFrame:
-    """The rows, all columns, whose text has a language with at least min_score."""
+                    min_score: float = 0.5, limits: dict[str, float] | None = None) -> DataFrame:
+    """The rows, all columns, whose text has a language with at least min_score.
+
+    limits: bits a byte by language. A text goes that takes over SLACK_BITS more than its
+    language's limit allows, so a short one isn't judged by one rare word. A model without
+    languages can judge none: all texts with a letter stay.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    limits = limits or {}
 
     def run(batches):
         frozen = ByteModel.of(shared.value)
         for batch in batches:
             if batch.num_rows:
-                names, scores, _ = frozen.predict(
-                    batch.column(batch.schema.get_field_index(text_col)).to_pylist())
-                mask = [n != "und" and s >= min_score for n, s in zip(names, scores, strict=True)]
+                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+                if not frozen.langs:
+                    yield batch.filter(pa.array([bool(_LETTER.search(t or "")) for t in texts], pa.bool_()))
+                    continue
+                names, scores, rates = frozen.predict(texts)
+                mask = [n != "und" and s >= min_score
+                        and (n not in limits
+                             or (r - limits[n]) * len(t.encode("utf-8", "surrogatepass")) <= SLACK_BITS)
+                        for t, n, s, r in zip(texts, names, scores, rates, strict=True)]
                 yield batch.filter(pa.array(mask, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

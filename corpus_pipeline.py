@@ -10,8 +10,10 @@ from barloom.llm.common import stored, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that have no language (no letter) or none with a probability of a half."""
-    return langid.keep_identified(docs, langid.train(docs))
+    """Without documents that have no letter, no language with a probability of a half, or far
+    more bits a byte than their language's training texts."""
+    model = langid.train(docs)
+    return langid.keep_identified(docs, model, limits=langid.rate_limits(docs, model))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

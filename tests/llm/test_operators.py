@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -266,6 +267,17 @@ def test_language_id(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(range(120))
 
 
+def test_language_stage_rejects_noise_and_needs_no_languages(spark):
+    texts, lang = languages(120)
+    rng = random.Random(14)
+    noise = ["".join(chr(rng.randrange(33, 256)) for _ in range(300)), "ζωή καὶ θάνατος " * 20]
+    rows = [*texts, *noise, "qz", "123"]
+    kept = corpus_pipeline.language_id(spark, frame(spark, rows, [*lang, None, None, None, None]), "")
+    assert {r["doc_id"] for r in kept.collect()} == {*range(120), 122}
+    kept = corpus_pipeline.language_id(spark, frame(spark, rows, [None] * len(rows)), "")
+    assert {r["doc_id"] for r in kept.collect()} == set(range(123))
+
+
 def test_code_lengths_are_probabilities():
     texts, _ = languages(30)
     codes, _ = langid._grams(texts)
