@@ -1,6 +1,6 @@
 """The operators' queries over the given tables, and SQL for those that SQL can express."""
 
-from . import fingerprint, html, jaccard, langid, lm, mixing, packing, quality, rules, tokencount, warc
+from . import fingerprint, html, jaccard, langid, lm, mixing, packing, quality, rules, tokencount, trie, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -14,10 +14,12 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_quality_rules": rules.op10_quality_rules,
     "op11_warc": warc.op11_warc,
+    "op12_prefix_trie": trie.op12_prefix_trie,
 }
 
 ORACLE = {
     "op3_jaccard_join": jaccard.ORACLE_OP3,
     "op5_mixing": mixing.ORACLE_OP5,
     "op11_warc": warc.ORACLE_OP11,
+    "op12_prefix_trie": trie.ORACLE_OP12,
 }
