@@ -1,6 +1,6 @@
 """The operators' queries over the given tables, and SQL for those that SQL can express."""
 
-from . import fingerprint, html, jaccard, langid, lm, mixing, packing, quality, rules, tokencount, trie, warc
+from . import fingerprint, html, jaccard, langid, lm, mixing, packing, quality, repair, rules, tokencount, trie, warc
 
 QUERIES = {
     "op1_language_id": langid.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_quality_rules": rules.op10_quality_rules,
     "op11_warc": warc.op11_warc,
     "op12_prefix_trie": trie.op12_prefix_trie,
+    "op13_structure_repair": repair.op13_structure_repair,
 }
 
 ORACLE = {
