@@ -31,7 +31,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     job.add_argument("--date", required=True)
     job.add_argument("--series", type=int, default=FULL_PROFILE[0])
     job.add_argument("--days", type=int, default=FULL_PROFILE[1])
-    job.add_argument("--until-ms", type=int, help="end of the look-back; default: the latest tick")
+    job.add_argument("--until-ms", type=int, help="end of the look-back; default: the end of the date")
     job.add_argument("--multiline", action="store_true")
     job.add_argument("--by-series", action="store_true")
 
@@ -41,6 +41,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     job.add_argument("--date")
     job.add_argument("--on-conflict", choices=("append", "skip"), default="append")
     job.add_argument("--buckets", type=int)
+    job.add_argument("--by-day", action="store_true")
     job.add_argument("--legacy", action="store_true")
 
     job = jobs.add_parser("transform", help="a snapshot of ticks to daily metrics")
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> RunReport:
             read_history(spark, args.histories, args.multiline),
             args.raw, args.date, args.series, args.days, args.until_ms, args.by_series)
     elif args.job == "load":
-        create_tick_table(spark, args.table, buckets=args.buckets)
+        create_tick_table(spark, args.table, buckets=args.buckets, by_day=args.by_day)
         rows = load_snapshot(
             spark, args.raw, args.table, args.date, args.on_conflict, args.legacy)
         report = RunReport({"table": args.table}, {"ticks": rows})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.time import utc_day
 from barloom.operators.bars import daily_bars
-from barloom.operators.cleaning import clean_ticks, dedup_ticks, valid_ticks
+from barloom.operators.cleaning import clean_ticks, dedup_ticks, in_range, valid_ticks
 from barloom.operators.metrics import add_metrics
 from barloom.plans.report import RunReport
 from barloom.sinks.datasets import write_bars
@@ -29,9 +29,9 @@ LAYOUTS = ("spread", "by_bar")
 def densest_bar(ticks: DataFrame) -> DataFrame:
     """One row: the number of raw rows behind the bar that has the most.
 
-    Reads two columns and shuffles counts.
+    Reads two columns and shuffles counts. Rows without an instant that has a day count for none.
     """
-    per_bar = ticks.groupBy("crypto_id", utc_day("timestamp").alias("date")).count()
+    per_bar = in_range(ticks).groupBy("crypto_id", utc_day("timestamp").alias("date")).count()
     return per_bar.agg(F.coalesce(F.max("count"), F.lit(0)).alias("rows"))
 
 

@@ -3,6 +3,9 @@
 Both writers return the number of rows written (bars also the ticks behind them). The
 counts are observed in the stage that writes, whose tasks Spark counts once each, also
 when some run again after a lost executor.
+
+Both replace their date when the job is committed: until then, and if the job fails, an
+earlier write of that date stays readable. A finished write is marked (see `marks`).
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barloom.schema import BARS, TICKS, conform
+from barloom.sinks.marks import empty, mark, replace
 from barloom.sources.snapshots import PARTITION, is_date, layout_of
 
 RUN_PARTITION = "run_date"
@@ -42,12 +46,13 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
         # Adaptive execution splits a large series over tasks and joins small ones.
         out = out.hint("rebalance", "crypto_id")
     seen = Observation()
-    writer = out.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    writer = writer.option("compression", "snappy")
-    if by_series:
-        writer = writer.partitionBy("crypto_id").option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
-    return path, seen.get["rows"]
+    by = ("crypto_id",) if by_series else ()
+    replace(out.observe(seen, F.count(F.lit(1)).alias("rows")), root, PARTITION, ingest_date, by)
+    rows = seen.get["rows"]
+    if not rows and not by_series:
+        empty(out, root, PARTITION, ingest_date)
+    mark(ticks.sparkSession, root, f"{PARTITION}={ingest_date}")
+    return path, rows
 
 
 def write_bars(bars: DataFrame, root: str, run_date: str,
@@ -70,8 +75,11 @@ def write_bars(bars: DataFrame, root: str, run_date: str,
         F.count(F.lit(1)).alias("bars"),
         F.coalesce(F.sum("data_points"), F.lit(0)).alias("ticks"),
     )
-    out.write.mode("overwrite").parquet(path)
+    replace(out, root, RUN_PARTITION, run_date)
     counts = seen.get
+    if not counts["bars"]:
+        empty(bars, root, RUN_PARTITION, run_date)
+    mark(bars.sparkSession, root, f"{RUN_PARTITION}={run_date}")
     return path, counts["bars"], counts["ticks"]
 
 

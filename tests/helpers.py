@@ -43,6 +43,31 @@ def count_nodes(df, node: str) -> int:
     return len(re.findall(rf"^[ :+\-*()\d]*{node}\b", plan(df), flags=re.M))
 
 
+def scan_rows(df, column: str) -> int:
+    """Rows that the scans of files with this column put out while `df` was collected."""
+    df.collect()
+    found = 0
+
+    def walk(node):
+        nonlocal found
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.finalPhysicalPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name.startswith("ReusedExchange"):
+            return None
+        if name.startswith("Scan parquet") and f"{column}#" in node.toString():
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+        return None
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
 def half_up(x, digits):
     if x is None:
         return None

@@ -15,7 +15,7 @@ import barloom as b
 from barloom.__main__ import main
 from barloom.functions.time import MS_PER_DAY
 from barloom.schema import METRICS, TICKS, conform
-from helpers import DAY0, count_nodes, model_metrics, plan, ticks
+from helpers import DAY0, count_nodes, model_metrics, plan, scan_rows, ticks
 
 
 def rows(df, *names):
@@ -119,6 +119,101 @@ def test_conform(spark):
         conform(df.drop("volume"), TICKS)
 
 
+def failing(df, column="price", least=3.0):
+    """The same rows, until one with a value of `least` or more is met."""
+    return df.filter(F.assert_true(F.col(column) < least, F.lit("unsound")).isNull())
+
+
+@pytest.mark.parametrize("options", [{}, {"by_series": True}, {"clustered": True}])
+def test_failed_rerun_leaves_the_snapshot(spark, tmp_path, options):
+    root = str(tmp_path / "raw")
+    old = [("a", 1, 1.0), ("b", 1, 2.0)]
+    b.write_ticks(ticks(spark, old), root, "2024-01-01", **options)
+    again = ticks(spark, [("a", 1, 2.0), ("b", 2, 2.5), ("c", 1, 3.0)]).repartition(3)
+    with pytest.raises(PySparkException, match="unsound"):
+        b.write_ticks(failing(again), root, "2024-01-01", **options)
+    for date in (None, "2024-01-01"):
+        assert rows(b.read_ticks(spark, root, date)) == old
+    b.write_ticks(again, root, "2024-01-01", **options)
+    assert rows(b.read_ticks(spark, root)) == [("a", 1, 2.0), ("b", 2, 2.5), ("c", 1, 3.0)]
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_failed_rerun_leaves_the_bars(spark, tmp_path, ordered):
+    root = str(tmp_path / "out")
+    bars = b.daily_bars(ticks(spark, [("b", DAY0, 1.0), ("a", DAY0, 2.0)]))
+    b.write_bars(bars, root, "2024-01-01", ordered)
+    with pytest.raises(PySparkException, match="unsound"):
+        b.write_bars(failing(b.daily_bars(ticks(spark, [("a", DAY0, 9.0)])), "close"), root, "2024-01-01", ordered)
+    got = b.read_bars(spark, root, "2024-01-01")
+    assert rows(got, "crypto_id", "close") == [("a", 2.0), ("b", 1.0)]
+    assert b.write_bars(bars.filter("close > 5"), root, "2024-01-01", ordered)[1:] == (0, 0)
+    assert b.read_bars(spark, root, "2024-01-01").count() == 0
+
+
+def test_snapshot_without_rows_replaces_one_with_rows(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    b.write_ticks(ticks(spark, [("a", 1, 1.0)]), root, "2024-01-01")
+    assert b.write_ticks(ticks(spark, []), root, "2024-01-01")[1] == 0
+    assert b.read_ticks(spark, root, "2024-01-01").count() == 0 and b.snapshot_dates(spark, root) == ["2024-01-01"]
+
+
+def test_commit_cut_off_between_series_is_seen(spark, tmp_path):
+    root, part = str(tmp_path / "raw"), tmp_path / "raw" / "ingest_date=2024-01-02"
+    b.write_ticks(ticks(spark, [("a", 1, 0.5)]), root, "2024-01-01")
+    data = [("a", 1, 1.0), ("b", 1, 2.0)]
+    b.write_ticks(ticks(spark, data), root, "2024-01-02", by_series=True)
+    assert rows(b.read_ticks(spark, root)) == data
+    (part / "crypto_id=b").rename(tmp_path / "moved")  # as if it had not been put in place yet
+    assert b.snapshot_dates(spark, root) == ["2024-01-01"] and rows(b.read_ticks(spark, root)) == [("a", 1, 0.5)]
+    with pytest.raises(ValueError, match="not finished"):
+        b.read_ticks(spark, root, "2024-01-02")
+    (tmp_path / "moved").rename(part / "crypto_id=b")
+    assert rows(b.read_ticks(spark, root)) == data
+    # A series that is another write's file under the same name of folder.
+    file = next((part / "crypto_id=b").glob("*.parquet"))
+    file.rename(file.with_name("part-other.snappy.parquet"))
+    assert b.snapshot_dates(spark, root) == ["2024-01-01"]
+    b.write_ticks(ticks(spark, data), root, "2024-01-02", by_series=True)
+    assert b.snapshot_dates(spark, root) == ["2024-01-01", "2024-01-02"]
+
+
+def test_snapshot_of_another_program_needs_its_own_mark(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    ticks(spark, [("a", 1, 1.0)]).write.parquet(f"{root}/ingest_date=2024-01-01")
+    assert rows(b.read_ticks(spark, root)) == [("a", 1, 1.0)]
+    (tmp_path / "raw" / "ingest_date=2024-01-01" / "_SUCCESS").unlink()
+    assert b.snapshot_dates(spark, root) == []
+
+
+def pandas_file(path, **columns):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pd.DataFrame(columns).to_parquet(path, index=False)
+
+
+def test_older_files_are_read_by_their_own_types(spark, tmp_path):
+    day = tmp_path / "2024-01-01"
+    stamp = pd.to_datetime([DAY0, DAY0 + 1], unit="ms").astype("datetime64[ns]")
+    both = [DAY0, DAY0 + 1]
+    pandas_file(day / "a_prices.parquet", timestamp=both, datetime=stamp, crypto_id=["a"] * 2, price=[1.5, 2.5],
+                volume=[1.0, None], market_cap=[10.0, 20.0])
+    pandas_file(day / "b_prices.parquet", timestamp=both, datetime=stamp, crypto_id=["b"] * 2, price=[3, 4],
+                volume=[None, None], market_cap=[7, 8])
+    pandas_file(day / "c_prices.parquet", timestamp=[float(DAY0), None], crypto_id=["c"] * 2, price=[5.0, float("nan")])
+    pandas_file(day / "d_prices.parquet", timestamp=[10**18, DAY0], crypto_id=[7, 8], price=[6.0, 7.0], volume=["x", "2"], extra=[1, 2])
+    got = b.read_legacy_ticks(spark, str(tmp_path))
+    assert got.schema == TICKS
+    assert sorted(map(str, (tuple(r) for r in got.select("crypto_id", "timestamp", "price", "volume", "market_cap").collect()))) == sorted(map(str, [
+        ("a", DAY0, 1.5, 1.0, 10.0), ("a", DAY0 + 1, 2.5, None, 20.0), ("b", DAY0, 3.0, None, 7.0), ("b", DAY0 + 1, 4.0, None, 8.0),
+        ("c", DAY0, 5.0, None, None), ("c", None, None, None, None), ("7", 10**18, 6.0, None, None), ("8", DAY0, 7.0, 2.0, None)]))
+    assert rows(got.filter("datetime IS NULL"), "crypto_id") == [("7",), ("c",)]
+    assert spark.conf.get("spark.sql.legacy.parquet.nanosAsLong") == "false"
+    files = [line for line in plan(got).splitlines() if "FileScan" in line]
+    assert len(files) == 4  # one scan a schema, not one a file
+    pandas_file(day / "e_prices.parquet", timestamp=both, crypto_id=["e"] * 2, price=[9, 9], volume=[None, None], market_cap=[7, 8])
+    assert len([x for x in plan(b.read_legacy_ticks(spark, str(tmp_path))).splitlines() if "FileScan" in x]) == 4
+
+
 # The tick table -----------------------------------------------------------------------
 
 def test_contract(spark):
@@ -156,6 +251,25 @@ def test_skip_existing_can_be_repeated(spark, tmp_path, buckets):
         b.append_ticks(second, name, "replace")
 
 
+def test_load_by_day_opens_the_days_of_the_batch(spark, tmp_path):
+    days, old = 40, DAY0 - 9000 * MS_PER_DAY
+    data = [("s", DAY0 + d * MS_PER_DAY + i, float(i + 1)) for d in range(days) for i in range(25)]
+    batch = ticks(spark, [("s", DAY0 + 3 * MS_PER_DAY, 9.0), ("s", DAY0 + 30 * MS_PER_DAY + 777, 1.0), ("s", old, 1.0)])
+    read = {}
+    for by_day in (True, False):
+        name = table_name()
+        b.create_tick_table(spark, name, str(tmp_path / name), by_day=by_day)
+        assert b.append_ticks(ticks(spark, data), name) == len(data)
+        read[by_day] = scan_rows(b.without_existing(batch, spark.table(name)), "crypto_id")
+        assert b.append_ticks(batch, name, "skip") == 2
+        assert b.append_ticks(batch, name, "skip") == 0
+        assert spark.table(name).count() == len(data) + 2
+    assert read[True] == 2 * 25  # of the plain table, one old tick opens all up to the last one
+    assert read[False] > 15 * read[True]
+    with pytest.raises(ValueError):
+        b.create_tick_table(spark, table_name(), buckets=4, by_day=True)
+
+
 def test_breach_of_contract_fails_the_load(spark, tmp_path):
     name = table_name()
     b.create_tick_table(spark, name, str(tmp_path / "t"))

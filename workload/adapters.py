@@ -1,7 +1,8 @@
 """The given tables as ticks, history documents and listings.
 
 Prices are whole cents held in doubles: sums of them are exact in any order, so a
-result does not depend on how Spark or the checking engine splits the work.
+result does not depend on how Spark or the checking engine splits the work. Price, volume
+and market cap of an event all differ, so that no column can stand in for another.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.time import epoch_ms, utc_datetime
+from barloom.operators.cleaning import IN_RANGE
 from barloom.schema import TICKS
 
 # Events per page of a history document. Event ids are unique, so no document holds
@@ -33,14 +35,15 @@ def props_number() -> Column:
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", "event_type", F.col("user_id").cast("string").alias("uid"),
-        epoch_ms("ts").alias("ms"), cents("value").alias("cents"), props_number().alias("k"))
+        epoch_ms("ts").alias("ms"), cents("value").alias("cents"), props_number().alias("k")).withColumns({
+            "size": F.col("cents") + F.col("event_id") % 7 + 1, "cap": F.col("cents") * 3 + F.col("event_id") % 11})
 
 
 def _ticks(df: DataFrame, series: str) -> DataFrame:
     return df.select(
         F.col("ms").alias("timestamp"), utc_datetime("ms").alias("datetime"),
         F.col(series).alias("crypto_id"), F.col("cents").alias("price"),
-        F.col("cents").alias("volume"), F.col("cents").alias("market_cap"))
+        F.col("size").alias("volume"), F.col("cap").alias("market_cap"))
 
 
 def ticks_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +80,9 @@ def returned_ticks_by_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PRICE = """CASE WHEN k BETWEEN 6 AND 8 THEN NULL WHEN k BETWEEN 9 AND 11 THEN double('NaN')
                  WHEN k BETWEEN 12 AND 14 THEN -cents WHEN k BETWEEN 15 AND 17 THEN 0D
                  ELSE cents END AS price"""
-_VOLUME = "CASE WHEN k NOT BETWEEN 20 AND 39 THEN cents END AS volume"
+_VOLUME = "CASE WHEN k NOT BETWEEN 20 AND 39 THEN size END AS volume"
+# Instants in nanoseconds, which no calendar shows.
+_INSTANT = """CASE WHEN k BETWEEN 18 AND 19 THEN ms * 1000000 WHEN k NOT BETWEEN 3 AND 5 THEN ms END AS timestamp"""
 _ROWS = """inline(CASE
     WHEN k BETWEEN 50 AND 59 THEN array(struct(price, volume), struct(price, double(NULL) AS volume))
     WHEN k BETWEEN 60 AND 69 THEN array(struct(price, volume), struct(price, volume))
@@ -92,12 +97,11 @@ def dirty_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _events(spark, sf_dir)
         .selectExpr(
-            "CASE WHEN k NOT BETWEEN 3 AND 5 THEN ms END AS timestamp",
-            "CASE WHEN k >= 3 THEN uid END AS crypto_id",
-            _PRICE, _VOLUME, "cents AS market_cap", "k")
+            _INSTANT, "CASE WHEN k >= 3 THEN uid END AS crypto_id",
+            _PRICE, _VOLUME, "cap AS market_cap", "k")
         .selectExpr("timestamp", "crypto_id", "market_cap", _ROWS)
-        .select("timestamp", utc_datetime("timestamp").alias("datetime"), "crypto_id",
-                "price", "volume", "market_cap")
+        .select("timestamp", utc_datetime(F.expr(f"CASE WHEN {IN_RANGE} THEN timestamp END")).alias("datetime"),
+                "crypto_id", "price", "volume", "market_cap")
     )
 
 
@@ -110,7 +114,7 @@ def contract_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CASE WHEN k NOT BETWEEN 3 AND 5 THEN at END AS datetime",
             """CASE WHEN k BETWEEN 6 AND 8 THEN NULL WHEN k BETWEEN 9 AND 11 THEN lpad(uid, 51, '0')
                     WHEN k BETWEEN 12 AND 14 THEN lpad(uid, 50, '0') ELSE uid END AS crypto_id""",
-            "cents AS price", "cents AS volume", "cents AS market_cap")
+            "cents AS price", "size AS volume", "cap AS market_cap")
     )
 
 

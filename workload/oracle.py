@@ -21,16 +21,17 @@ def _round(x: str, digits: int) -> str:
 
 EVENTS = """ev AS (
   SELECT event_id, event_type, CAST(user_id AS VARCHAR) AS uid, epoch_us(ts) // 1000 AS ms,
-         round(value * 100) AS cents, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k
+         round(value * 100) AS cents, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k,
+         round(value * 100) + event_id % 7 + 1 AS size, round(value * 100) * 3 + event_id % 11 AS cap
   FROM events)"""
 
 BY_TYPE = f"""{EVENTS}, ticks AS (
-  SELECT ms AS timestamp, event_type AS crypto_id, cents AS price, cents AS volume,
-         cents AS market_cap FROM ev)"""
+  SELECT ms AS timestamp, event_type AS crypto_id, cents AS price, size AS volume,
+         cap AS market_cap FROM ev)"""
 
 BY_USER = f"""{EVENTS}, ticks AS (
-  SELECT ms AS timestamp, uid AS crypto_id, cents AS price, cents AS volume,
-         cents AS market_cap FROM ev)"""
+  SELECT ms AS timestamp, uid AS crypto_id, cents AS price, size AS volume,
+         cap AS market_cap FROM ev)"""
 
 BY_PART = """ticks AS (
   SELECT epoch_us(l_shipdate) // 1000 AS timestamp, CAST(l_partkey AS VARCHAR) AS crypto_id,
@@ -38,14 +39,14 @@ BY_PART = """ticks AS (
          round(l_extendedprice * 100) AS market_cap, l_returnflag FROM lineitem)"""
 
 DIRTY = f"""{EVENTS}, base AS (
-  SELECT CASE WHEN k BETWEEN 3 AND 5 THEN NULL ELSE ms END AS timestamp,
+  SELECT CASE WHEN k BETWEEN 3 AND 5 THEN NULL WHEN k IN (18, 19) THEN ms * 1000000 ELSE ms END AS timestamp,
          CASE WHEN k < 3 THEN NULL ELSE uid END AS crypto_id,
          CASE WHEN k BETWEEN 6 AND 8 THEN NULL
               WHEN k BETWEEN 9 AND 11 THEN CAST('NaN' AS DOUBLE)
               WHEN k BETWEEN 12 AND 14 THEN -cents
               WHEN k BETWEEN 15 AND 17 THEN 0.0 ELSE cents END AS price,
-         CASE WHEN k BETWEEN 20 AND 39 THEN NULL ELSE cents END AS volume,
-         cents AS market_cap, k FROM ev),
+         CASE WHEN k BETWEEN 20 AND 39 THEN NULL ELSE size END AS volume,
+         cap AS market_cap, k FROM ev),
 ticks AS (
   SELECT {TICK} FROM base
   UNION ALL SELECT timestamp, crypto_id, price, NULL, market_cap FROM base WHERE k BETWEEN 50 AND 59
@@ -163,7 +164,7 @@ CONTRACT = f"""{EVENTS}, ticks AS (
   SELECT CASE WHEN k < 3 THEN NULL ELSE ms END AS timestamp,
          CASE WHEN k BETWEEN 6 AND 8 THEN NULL WHEN k BETWEEN 9 AND 11 THEN lpad(uid, 51, '0')
               WHEN k BETWEEN 12 AND 14 THEN lpad(uid, 50, '0') ELSE uid END AS crypto_id,
-         cents AS price, cents AS volume, cents AS market_cap,
+         cents AS price, size AS volume, cap AS market_cap,
          CASE WHEN k < 3 THEN 'timestamp is null' WHEN k < 6 THEN 'datetime is null'
               WHEN k < 9 THEN 'crypto_id is null' WHEN k < 12 THEN 'crypto_id is too long' END AS reason
   FROM ev)"""
@@ -237,7 +238,7 @@ ORACLE: dict[str, str] = {
     "daily_metrics_in_place": _DIRTY_METRICS,
     "daily_metrics_by_part_in_place": _metrics(BY_PART),
     "densest_bar": f"""WITH {DIRTY}, counted AS (
-        SELECT count(*) AS n FROM ticks GROUP BY crypto_id, {DAY})
+        SELECT count(*) AS n FROM ticks WHERE {DATED} GROUP BY crypto_id, {DAY})
         SELECT max(n) AS rows FROM counted""",
     "metrics_preview": f"""SELECT crypto_id, date, close, ma_7d, change_1d_pct, volatility_7d
         FROM ({_metrics(BY_USER)}) ORDER BY crypto_id, date LIMIT 15""",
@@ -253,6 +254,8 @@ ORACLE: dict[str, str] = {
     "lookback_until": f"""WITH {BY_USER} SELECT {TICK} FROM ticks
         WHERE timestamp > {HALF_WAY_MS} - 7 * CAST(86400000 AS BIGINT) AND timestamp <= {HALF_WAY_MS}""",
     "latest_finished_snapshot": f"{_BY_USER} WHERE timestamp < {HALF_WAY_MS}",
+    "snapshot_after_failed_rerun": _BY_USER,
+    "bars_after_failed_rerun": f"WITH {_USER_BARS} SELECT {BAR} FROM bars",
     "load_nothing": f"{_BY_USER} WHERE FALSE",
     "ingest_counts": f"""WITH {EXPLODED}, {_top(5)}, chosen AS (
             SELECT * FROM exploded WHERE crypto_id IN (SELECT id FROM top)),
@@ -278,25 +281,33 @@ ORACLE: dict[str, str] = {
     "lookback_full_profile": f"""WITH {BY_PART} SELECT {TICK} FROM ticks
         WHERE timestamp > (SELECT max(timestamp) FROM ticks) - 365 * CAST(86400000 AS BIGINT)""",
     "union_ticks": f"""WITH {EVENTS}
-        SELECT ms AS timestamp, uid AS crypto_id, cents AS price, cents AS volume,
-               cents AS market_cap FROM ev
-        UNION ALL SELECT ms, event_type, cents, cents, NULL FROM ev""",
+        SELECT ms AS timestamp, uid AS crypto_id, cents AS price, size AS volume,
+               cap AS market_cap FROM ev
+        UNION ALL SELECT ms, event_type, cents, size, NULL FROM ev""",
     "latest_snapshot": """SELECT epoch_us(ts) // 1000 AS timestamp,
         date_trunc('millisecond', ts) AS datetime, CAST(user_id AS VARCHAR) AS crypto_id,
-        round(value * 100) AS price, round(value * 100) AS volume,
-        round(value * 100) AS market_cap FROM events""",
+        round(value * 100) AS price, round(value * 100) + event_id % 7 + 1 AS volume,
+        round(value * 100) * 3 + event_id % 11 AS market_cap FROM events""",
     "snapshot_by_date": f"{_BY_USER} WHERE timestamp < {HALF_WAY_MS}",
     "snapshot_by_series": f"""WITH {BY_TYPE} SELECT timestamp, crypto_id, price,
         CASE WHEN crypto_id = 'click' THEN volume + 1 ELSE volume END AS volume, market_cap
         FROM ticks""",
     "legacy_snapshot_combined": _BY_TYPE,
     "legacy_snapshot_series_files": _BY_TYPE,
+    "legacy_mixed_types": f"""WITH {BY_TYPE} SELECT timestamp, crypto_id, price,
+        CASE WHEN crypto_id <> 'view' THEN volume END AS volume,
+        CASE WHEN crypto_id <> 'purchase' THEN market_cap END AS market_cap FROM ticks""",
     "validate_ticks": f"WITH {CONTRACT} SELECT {TICK} FROM ticks WHERE reason IS NULL",
     "validate_ticks_rejects": f"""WITH {CONTRACT}
         SELECT crypto_id, timestamp, price, reason FROM ticks WHERE reason IS NOT NULL""",
     "append_rows": f"""WITH {BY_PART} SELECT {TICK} FROM ticks
         UNION ALL SELECT {TICK} FROM ticks WHERE l_returnflag = 'R'""",
     "append_skip_existing": SKIPPED,
+    "append_by_day_skip_existing": f"""WITH {BY_USER}, unique_ticks AS (
+            SELECT {TICK} FROM ticks QUALIFY row_number() OVER ({KEYED} ORDER BY {SURVIVOR}) = 1)
+        SELECT {TICK} FROM unique_ticks UNION ALL
+        SELECT min(timestamp) - 3650 * CAST(86400000 AS BIGINT), crypto_id, arg_min(price, timestamp), NULL, NULL
+        FROM ticks GROUP BY crypto_id""",
     "append_skip_existing_bucketed": SKIPPED,
     "load_snapshot": _BY_USER,
     "ingest_top_k": f"""WITH {EXPLODED}, {_top(5)}, chosen AS (

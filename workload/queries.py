@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -334,6 +335,38 @@ def latest_finished_snapshot(spark, sf):
     return b.read_ticks(spark, root).select(*TICK)
 
 
+@_query
+def snapshot_after_failed_rerun(spark, sf):
+    # Writing the date anew fails halfway, on the ticks of the second half of the month.
+    root = scratch_folder(spark)
+    ticks = a.ticks_by_user(spark, sf)
+    b.write_ticks(ticks, root, LATEST)
+    sound = F.assert_true(F.col("timestamp") < HALF_WAY_MS, F.lit("unsound")).isNull()
+    try:
+        b.write_ticks(ticks.withColumn("volume", F.col("volume") + 1).filter(sound), root, LATEST)
+    except PySparkException as e:
+        if "unsound" not in str(e):
+            raise
+        return b.read_ticks(spark, root, LATEST).select(*TICK)
+    raise AssertionError("the second write was to fail")
+
+
+@_query
+def bars_after_failed_rerun(spark, sf):
+    # As above, for the daily bars of a run.
+    root = scratch_folder(spark)
+    bars = b.clean_bars(a.ticks_by_user(spark, sf))
+    b.write_bars(bars, root, LATEST)
+    sound = F.assert_true(F.col("date") < F.lit(OLDER), F.lit("unsound")).isNull()
+    try:
+        b.write_bars(bars.withColumn("open", F.lit(0.0)).filter(sound), root, LATEST)
+    except PySparkException as e:
+        if "unsound" not in str(e):
+            raise
+        return b.read_bars(spark, root, LATEST)
+    raise AssertionError("the second write was to fail")
+
+
 @_query
 def load_nothing(spark, sf):
     # No snapshot at all: an empty frame in the shape of the given ticks.
@@ -361,6 +394,23 @@ def legacy_snapshot_series_files(spark, sf):
     return _legacy(spark, sf, combined=False)
 
 
+@_query
+def legacy_mixed_types(spark, sf):
+    # Files as their writers inferred them: whole prices as integers, an empty column
+    # in another type, a column missing.
+    folder = f"{scratch_folder(spark)}/{LATEST}"
+    ticks = a.ticks_by_type(spark, sf).drop("datetime")
+    forms = {
+        "click": ticks.withColumn("price", F.col("price").cast("long")),
+        "view": ticks.withColumn("volume", F.lit(None).cast("int")),
+        "purchase": ticks.drop("market_cap").withColumn("timestamp", F.col("timestamp").cast("double")),
+    }
+    for kind, form in forms.items():
+        form.filter(F.col("crypto_id") == kind).write.parquet(f"{folder}/{kind}_prices.parquet")
+    ticks.filter(~F.col("crypto_id").isin(*forms)).write.parquet(f"{folder}/other_prices.parquet")
+    return b.read_legacy_ticks(spark, folder.rsplit("/", 1)[0]).select(*TICK)
+
+
 @_query
 def validate_ticks(spark, sf):
     good, _ = b.validate_ticks(a.contract_ticks(spark, sf))
@@ -373,10 +423,10 @@ def validate_ticks_rejects(spark, sf):
     return rejects.select("crypto_id", "timestamp", "price", "reason")
 
 
-def _table(spark, buckets=None) -> str:
+def _table(spark, buckets=None, by_day=False) -> str:
     folder = scratch_folder(spark)
     name = folder.rsplit("/", 1)[-1].replace("-", "_")
-    b.create_tick_table(spark, name, folder, buckets)
+    b.create_tick_table(spark, name, folder, buckets, by_day)
     return name
 
 
@@ -402,6 +452,19 @@ def append_skip_existing_bucketed(spark, sf):
     return _append_twice(spark, sf, "skip", buckets=8)
 
 
+@_query
+def append_by_day_skip_existing(spark, sf):
+    # The second load overlaps the first one, and brings one tick of each user long before.
+    table = _table(spark, by_day=True)
+    ticks = a.ticks_by_user(spark, sf)
+    b.append_ticks(ticks.filter(F.col("timestamp") < HALF_WAY_MS), table, "skip")
+    first = ticks.groupBy("crypto_id").agg(F.min("timestamp").alias("timestamp"), F.min_by("price", "timestamp").alias("price"))
+    old = first.withColumn("timestamp", F.col("timestamp") - F.lit(3650 * 86_400_000).cast("long")).withColumn(
+        "datetime", b.utc_datetime("timestamp"))
+    b.append_ticks(b.union_ticks([ticks, old]), table, "skip")
+    return spark.table(table).select(*TICK)
+
+
 @_query
 def load_snapshot(spark, sf):
     table = _table(spark)
