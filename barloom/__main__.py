@@ -49,7 +49,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     job.add_argument("--out", required=True)
     job.add_argument("--run-date", required=True)
     job.add_argument("--date")
-    job.add_argument("--layout", choices=LAYOUTS, default="spread")
+    job.add_argument("--layout", choices=LAYOUTS, default=LAYOUTS[0])
     job.add_argument("--calendar", action="store_true")
     job.add_argument("--ordered", action="store_true")
     job.add_argument("--legacy", action="store_true")

@@ -52,6 +52,47 @@ def daily_bars(ticks: DataFrame) -> DataFrame:
         F.expr(half_up("_caps / nullif(_with_cap, 0)", 0)).alias("market_cap"), "data_points")
 
 
+# A stretch of time within a day for which ticks are rolled up before bars are put together.
+SLICE_MS = 3_600_000
+
+
+def time_slice(ms: str = "timestamp"):
+    """Number of the slice an instant lies in; a slice lies in one day."""
+    return F.floor(F.col(ms) / F.lit(SLICE_MS))
+
+
+def partial_bars(ticks: DataFrame) -> DataFrame:
+    """Mergeable states of bars, one per series and slice of ticks with a `slice` column.
+
+    A state has the first and last instant with their prices, the extremes, and exact sums
+    and counts. Ticks partitioned by (crypto_id, slice) stay in place.
+    """
+    return ticks.groupBy("crypto_id", "slice").agg(
+        F.min("timestamp").alias("first_at"), F.min_by("price", "timestamp").alias("first"),
+        F.max("timestamp").alias("last_at"), F.max_by("price", "timestamp").alias("last"),
+        F.max("price").alias("high"), F.min("price").alias("low"),
+        F.sum(F.col("volume").cast(EXACT)).alias("volumes"),
+        F.sum(F.col("market_cap").cast(EXACT)).alias("caps"),
+        F.count(F.col("market_cap").cast(EXACT)).alias("with_cap"),
+        F.count(F.lit(1)).alias("ticks"))
+
+
+def merge_bars(partial: DataFrame) -> DataFrame:
+    """Daily bars from states of `partial_bars`, of which a day may have any number.
+
+    The same bars as `daily_bars` of the ticks behind them. States partitioned by crypto_id
+    stay in place.
+    """
+    return partial.withColumn("date", utc_day("first_at")).groupBy("crypto_id", "date").agg(
+        F.min_by("first", "first_at").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("last", "last_at").alias("close"), F.sum("volumes").cast("double").alias("volume"),
+        F.sum("caps").cast("double").alias("_caps"), F.sum("with_cap").alias("_with_cap"),
+        F.sum("ticks").alias("data_points"),
+    ).select(
+        "crypto_id", "date", "open", "high", "low", "close", "volume",
+        F.expr(half_up("_caps / nullif(_with_cap, 0)", 0)).alias("market_cap"), "data_points")
+
+
 def bar_counts(bars: DataFrame) -> DataFrame:
     """One row: number of bars and of ticks behind them."""
     return bars.agg(

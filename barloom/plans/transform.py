@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.time import utc_day
-from barloom.operators.bars import daily_bars
+from barloom.operators.bars import daily_bars, merge_bars, partial_bars, time_slice
 from barloom.operators.cleaning import clean_ticks, dedup_ticks, in_range, valid_ticks
 from barloom.operators.metrics import add_metrics
 from barloom.plans.report import RunReport
+from barloom.schema import TICK_KEY
 from barloom.sinks.datasets import write_bars
 from barloom.sources.snapshots import read_legacy_ticks, read_ticks
 
@@ -20,10 +21,49 @@ PREVIEW = ("crypto_id", "date", "close", "ma_7d", "change_1d_pct", "volatility_7
 #              day or group of copies can overload a task. Where bars far outnumber the
 #              rows of a task, partial bars are about as many as ticks, and a second
 #              shuffle of that size follows.
+#   "sliced"   by (crypto_id, hour). Ticks are shuffled and sorted once and rolled up where they
+#              land to states of bars; these are shuffled by crypto_id, where they become
+#              bars and stay for the metrics. An hour of a series has at most 3.6 million
+#              different instants. Ticks with very many copies are looked for first, in a
+#              pass over the two columns of the key (see `crowded`), and are reduced map-side
+#              as in "spread"; that branch is there only if there are such ticks.
 #   "by_bar"   by (crypto_id, date). Ticks are shuffled once and rolled up where they
 #              land; all copies of a bar's ticks meet in one task.
-# A run takes "spread" at every size; "by_bar" is for callers who know their bars.
-LAYOUTS = ("spread", "by_bar")
+# A run over a snapshot takes "sliced" at every size: the pass for the copies reads two
+# columns of Parquet files. The functions below take "spread" unless asked, for their ticks may
+# be costly to compute twice. "by_bar" is for callers who know their bars.
+LAYOUTS = ("sliced", "spread", "by_bar")
+
+# Hash buckets that tick keys are counted by. A bucket is crowded if it has more than one in
+# CROWD of all rows; there are fewer than CROWD such buckets.
+KEY_BUCKETS, CROWD = 4096, 256
+
+
+def _key_bucket():
+    return F.pmod(F.xxhash64(*TICK_KEY), F.lit(KEY_BUCKETS))
+
+
+def crowded(ticks: DataFrame) -> list[int]:
+    """Hash buckets of tick keys that hold more than a share of 1 / CROWD of the rows.
+
+    A tick with that many copies is in one of them. Reads the two columns of the key and
+    shuffles KEY_BUCKETS counts a task; fewer than CROWD numbers reach the driver.
+    """
+    known = ticks.select(*TICK_KEY).filter(" AND ".join(f"{c} IS NOT NULL" for c in TICK_KEY))
+    counts = known.groupBy(_key_bucket().alias("bucket")).count()
+    share = F.col("count") * CROWD > F.sum("count").over(Window.partitionBy(F.lit("all")))
+    return sorted(r["bucket"] for r in counts.withColumn("crowded", share).filter("crowded").collect())
+
+
+def by_slice(ticks: DataFrame) -> DataFrame:
+    """Valid ticks partitioned by (crypto_id, slice), those with very many copies reduced to one a key."""
+    ticks = ticks.withColumn("slice", time_slice())
+    buckets = crowded(ticks)
+    valid = valid_ticks(ticks)
+    if buckets:
+        copied = _key_bucket().isin(buckets)
+        valid = valid.filter(~copied).unionByName(dedup_ticks(valid.filter(copied)))
+    return valid.repartition("crypto_id", "slice")
 
 
 def densest_bar(ticks: DataFrame) -> DataFrame:
@@ -39,23 +79,26 @@ def clean_bars(ticks: DataFrame, layout: str = "spread") -> DataFrame:
     """Clean, then roll up to daily bars.
 
     Only the five columns the bars need are read and shuffled. All layouts give the
-    same bars.
+    same bars. "sliced" counts the keys (see `crowded`) when it is called.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout is one of {LAYOUTS}, not {layout!r}")
     needed = ticks.select("timestamp", "crypto_id", "price", "volume", "market_cap")
     if layout == "spread":
         return daily_bars(clean_ticks(needed))
+    if layout == "sliced":
+        states = partial_bars(dedup_ticks(by_slice(needed), (*TICK_KEY, "slice")))
+        return merge_bars(states.repartition("crypto_id"))
     dated = valid_ticks(needed).withColumn("date", utc_day("timestamp"))
     in_place = dated.repartition("crypto_id", "date")
     return daily_bars(dedup_ticks(in_place, ("crypto_id", "date", "timestamp")))
 
 
 def daily_metrics(ticks: DataFrame, layout: str = "spread", calendar: bool = False) -> DataFrame:
-    """Clean, roll up to daily bars, add all metrics. One lazy plan.
+    """Clean, roll up to daily bars, add all metrics.
 
-    After the ticks (see `LAYOUTS`) only bars are shuffled, by crypto_id; a series has at
-    most one a day.
+    After the ticks (see `LAYOUTS`) only bars or states of bars are shuffled, by crypto_id; a
+    series has at most one bar and 24 states a day.
     """
     return add_metrics(clean_bars(ticks, layout), calendar)
 
@@ -71,7 +114,7 @@ def raw_preview(ticks: DataFrame, rows: int = 5) -> DataFrame:
 
 
 def run_transform(spark: SparkSession, raw_root: str, out_root: str, run_date: str,
-                  date: str | None = None, legacy: bool = False, layout: str = "spread",
+                  date: str | None = None, legacy: bool = False, layout: str = "sliced",
                   calendar: bool = False, ordered: bool = False, allow_empty: bool = False) -> RunReport:
     """Read a snapshot, write its daily metrics, report.
 

@@ -4,9 +4,12 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import barloom as b
 from barloom.functions.time import MS_PER_DAY, epoch_ms, utc_datetime, utc_day
+from barloom.operators.bars import merge_bars, partial_bars
+from barloom.plans.transform import LAYOUTS, by_slice, crowded
 from barloom.schema import BARS
 from helpers import DAY0, by_day, count_nodes, model_metrics, plan, ticks
 
@@ -70,7 +73,7 @@ def random_rows(seed):
 
 
 @pytest.mark.parametrize("calendar", [False, True])
-@pytest.mark.parametrize("layout", ["spread", "by_bar"])
+@pytest.mark.parametrize("layout", LAYOUTS)
 @pytest.mark.parametrize("seed", [1, 2])
 def test_metrics_equal_the_row_by_row_model(spark, seed, layout, calendar):
     rows = random_rows(seed)
@@ -101,7 +104,7 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
     try:
         for parts in (3, 7, 16):
             rng.shuffle(rows)
-            for layout in ("spread", "by_bar"):
+            for layout in LAYOUTS:
                 got = b.clean_bars(ticks(spark, rows).repartition(parts), layout).first()
                 seen.add((got["volume"], got["market_cap"]))
     finally:
@@ -109,9 +112,9 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
     assert len(seen) == 1
 
 
-@pytest.mark.parametrize(("layout", "shuffles"), [("spread", 3), ("by_bar", 2)])
+@pytest.mark.parametrize(("layout", "shuffles"), [("spread", 3), ("sliced", 2), ("by_bar", 2)])
 def test_shuffles_of_a_run(spark, tmp_path, layout, shuffles):
-    b.write_ticks(ticks(spark, [("a", DAY0, 5.0)]), str(tmp_path), "2024-01-01")
+    b.write_ticks(ticks(spark, [("a", DAY0 + i, 5.0) for i in range(3000)]), str(tmp_path), "2024-01-01")
     for calendar in (False, True):
         df = b.daily_metrics(b.read_ticks(spark, str(tmp_path)), layout, calendar)
         text = plan(df)
@@ -121,6 +124,51 @@ def test_shuffles_of_a_run(spark, tmp_path, layout, shuffles):
         assert "GreaterThan(price,0.0)" in text
 
 
+def test_sliced_sorts_ticks_once_and_merges_states_in_place(spark, tmp_path):
+    b.write_ticks(ticks(spark, [("a", DAY0 + i, 5.0) for i in range(3000)]), str(tmp_path), "2024-01-01")
+    df = b.daily_metrics(b.read_ticks(spark, str(tmp_path)), "sliced")
+    text = plan(df)
+    shuffles = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 2 and "hashpartitioning(crypto_id" in shuffles[0] and "slice" not in shuffles[0], text
+    assert "slice" in shuffles[1]
+    # Nothing is sorted before the ticks' shuffle.
+    assert "Sort" not in text[text.index(shuffles[1]):]
+
+
+def test_copies_of_a_tick_are_reduced_before_the_shuffle(spark):
+    # A third of the rows are copies of one tick, a third are one series.
+    n = 6000
+    rows = [("copied", DAY0, float(i % 5 + 1), 1.0, 2.0) for i in range(n)]
+    rows += [("long", DAY0 + i * 60_000, 1.0 + i % 7, 1.0, 2.0) for i in range(n)]
+    rows += [(f"s{i % 100}", DAY0 + i * 1000, 2.0, None, 3.0) for i in range(n)] + [(None, DAY0, 1.0, None, None)] * n
+    df = ticks(spark, rows).repartition(6)
+    assert 1 <= len(crowded(df)) < 256 and crowded(df.filter("crypto_id <> 'copied'")) == []
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    placed = by_slice(df).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in placed) < n / 2 and sum(r["count"] for r in placed) < 2 * n + 10
+    got = b.daily_metrics(df, "sliced").orderBy("crypto_id", "date").collect()
+    assert [tuple(r) for r in got] == model_metrics(rows)
+    assert b.clean_bars(df.filter("crypto_id = 'copied'"), "sliced").first()["high"] == 5.0
+    assert b.clean_bars(df.limit(0), "sliced").count() == 0
+
+
+def test_states_of_a_day_merge_in_any_cut(spark):
+    rng = random.Random(8)
+    rows = [("a", DAY0 + rng.randrange(3 * MS_PER_DAY), rng.random(), rng.choice([None, rng.random()]), rng.choice([None, 1.5]))
+            for _ in range(500)]
+    df = b.clean_ticks(ticks(spark, rows))
+    want = rows_of(b.daily_bars(df))
+    for slices in (F.lit(0), F.col("timestamp"), F.col("timestamp") % 7):
+        # Slices need not be times, but lie in one day each.
+        cut = df.withColumn("slice", F.struct(F.floor(F.col("timestamp") / MS_PER_DAY), slices))
+        assert rows_of(merge_bars(partial_bars(cut))) == want
+
+
+def rows_of(bars):
+    return sorted(tuple(r) for r in bars.collect())
+
+
 def test_partial_bars_leave_a_task_as_one_row_per_day(spark):
     # One series and day, many ticks and tasks: what is shuffled is one partial bar a task.
     df = b.clean_bars(ticks(spark, [("hot", DAY0 + i, 1.0) for i in range(5000)]))

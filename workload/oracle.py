@@ -237,6 +237,8 @@ ORACLE: dict[str, str] = {
     "daily_metrics_unique_keys": _metrics(BY_USER),
     "daily_metrics_in_place": _DIRTY_METRICS,
     "daily_metrics_by_part_in_place": _metrics(BY_PART),
+    "daily_metrics_sliced": _DIRTY_METRICS,
+    "daily_metrics_by_part_sliced": _metrics(BY_PART),
     "densest_bar": f"""WITH {DIRTY}, counted AS (
         SELECT count(*) AS n FROM ticks WHERE {DATED} GROUP BY crypto_id, {DAY})
         SELECT max(n) AS rows FROM counted""",

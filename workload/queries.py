@@ -179,6 +179,16 @@ def daily_metrics_by_part_in_place(spark, sf):
     return b.daily_metrics(a.ticks_by_part(spark, sf), "by_bar")
 
 
+@_query
+def daily_metrics_sliced(spark, sf):
+    return b.daily_metrics(a.dirty_ticks(spark, sf), "sliced")
+
+
+@_query
+def daily_metrics_by_part_sliced(spark, sf):
+    return b.daily_metrics(a.ticks_by_part(spark, sf), "sliced")
+
+
 @_query
 def densest_bar(spark, sf):
     return b.densest_bar(a.dirty_ticks(spark, sf))
