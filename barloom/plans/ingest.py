@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.time import MS_PER_DAY
-from barloom.operators.history import explode_history, rejected_documents
+from barloom.operators.history import explode_history, explode_with_rejects
 from barloom.operators.selection import FULL_PROFILE, lookback, restrict_to_top_k
 from barloom.operators.validation import contract_breach
 from barloom.plans.report import RunReport
-from barloom.sinks.datasets import write_ticks
-from barloom.sources.snapshots import PARTITION, is_date
+from barloom.sinks.datasets import write_judged
+from barloom.sinks.marks import files_of
+from barloom.sources.snapshots import is_date
 
 
 def ticks_of_top_k(listing: DataFrame, histories: DataFrame, k: int = FULL_PROFILE[0],
@@ -34,39 +35,39 @@ def end_of(date: str) -> int:
     return (day.days + 1) * MS_PER_DAY - 1
 
 
+def judged_ticks(listing: DataFrame, histories: DataFrame, k: int, until: int, days: int | None = None) -> DataFrame:
+    """All ticks of the `k` largest series with their `kind` and `reason`, and a row of each unsound document.
+
+    "unsound" documents, "refused" ticks that the tick table does not take or that are later
+    than `until`, ticks "before" the look-back of `days`, and "good" ones. Listing and
+    documents are read once.
+    """
+    read = explode_with_rejects(restrict_to_top_k(histories, listing, k, on="id"))
+    late = F.when(F.col("timestamp") > until, "timestamp is later than the ingest")
+    reason = F.coalesce("problem", contract_breach(), late)
+    before = F.lit(False) if days is None else F.col("timestamp") <= until - days * MS_PER_DAY
+    kind = (F.when(F.col("problem").isNotNull(), "unsound").when(F.col("reason").isNotNull(), "refused")
+            .when(before, "before").otherwise("good"))
+    return read.withColumn("reason", reason).withColumn("kind", kind).drop("problem")
+
+
 def ingest(listing: DataFrame, histories: DataFrame, raw_root: str, ingest_date: str,
            k: int = FULL_PROFILE[0], days: int | None = None, until_ms: int | None = None,
            by_series: bool = False) -> RunReport:
-    """Write the snapshot of `ingest_date`, and what was left out of it.
+    """Write the snapshot of `ingest_date`, and what was left out of it, in one pass.
 
     `days` looks back from `until_ms`, by default the end of `ingest_date`; a later tick is
-    refused. Unsound documents, ticks that the tick table does not take and later ticks go
-    to `<raw_root>_rejects/ingest_date=.../` with their reasons. Counts: `ticks` written,
+    refused. Refused ticks and unsound documents go, with their reasons, to partitions
+    beside the snapshot's (see `write_judged`). Counts: `ticks` written,
     `documents_rejected`, `ticks_refused`, `ticks_before` the look-back; the ticks add up to
     `ticks_read`.
     """
     if not is_date(ingest_date):
         raise ValueError(f"ingest_date is YYYY-MM-DD, not {ingest_date!r}")
     until = end_of(ingest_date) if until_ms is None else until_ms
-    documents = restrict_to_top_k(histories, listing, k, on="id")
-    breach = F.coalesce(contract_breach(), F.when(F.col("timestamp") > until, "timestamp is later than the ingest"))
-    read = explode_history(documents).withColumn("reason", breach)
-    before = F.lit(False) if days is None else F.col("timestamp") <= until - days * MS_PER_DAY
-    fine = F.col("reason").isNull()
-    seen = Observation()
-    counted = read.observe(
-        seen, F.count(F.lit(1)).alias("read"), F.count_if(~fine).alias("refused"),
-        F.count_if(fine & before).alias("before"))
-    path, rows = write_ticks(counted.filter(fine & ~before).drop("reason"), raw_root, ingest_date,
-                             by_series=by_series)
-    rejects = f"{raw_root}_rejects/{PARTITION}={ingest_date}"
-    unsound = rejected_documents(documents).select("id", "reason")
-    unsound.write.mode("overwrite").parquet(f"{rejects}/documents")
-    read.filter(~fine).write.mode("overwrite").parquet(f"{rejects}/ticks")
-    spark = listing.sparkSession
-    rejected = spark.read.schema("id string, reason string").parquet(f"{rejects}/documents").count()
-    refused = spark.read.schema(read.schema).parquet(f"{rejects}/ticks").count()
-    counts = seen.get
-    return RunReport({"ticks": path, "rejects": rejects}, {
-        "ticks": rows, "documents_rejected": rejected, "ticks_refused": refused,
-        "ticks_before": counts["before"], "ticks_read": counts["read"]})
+    paths, n = write_judged(judged_ticks(listing, histories, k, until, days), raw_root, ingest_date, by_series)
+    files = files_of(listing.sparkSession, paths["good"]) or []
+    return RunReport({"ticks": paths["good"], "refused": paths["refused"], "unsound": paths["unsound"]}, {
+        "ticks": n["good"], "documents_rejected": n["unsound"], "ticks_refused": n["refused"],
+        "ticks_before": n["before"], "ticks_read": n["good"] + n["refused"] + n["before"]},
+        [f"{paths['good']}/{f}" for f in files])

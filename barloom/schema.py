@@ -21,6 +21,8 @@ TICKS = T.StructType([
 
 # One document per series (or per page of a series): arrays of [epoch ms, value].
 CORRUPT = "_corrupt_record"
+# Names of the arrays that a landed document holds as an explicit null.
+NULL_KEYS = "_null_keys"
 HISTORY = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("prices", _PAIRS),

@@ -32,12 +32,7 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
     """
     if by_series and clustered:
         raise ValueError("choose one of by_series and clustered")
-    if not is_date(ingest_date):
-        raise ValueError(f"ingest_date is YYYY-MM-DD, not {ingest_date!r}")
-    path = f"{root}/{PARTITION}={ingest_date}"
-    if by_series and "plain" in layout_of(ticks.sparkSession, path):
-        # Files above the series' folders would stay on disk and never be read.
-        raise ValueError(f"{path} is a snapshot that is not split by series; replace it as a whole")
+    path = _place(ticks, root, ingest_date, by_series)
     out = conform(ticks, TICKS)
     if clustered:
         out = out.repartitionByRange("crypto_id", "timestamp").sortWithinPartitions(
@@ -46,8 +41,8 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
         # Adaptive execution splits a large series over tasks and joins small ones.
         out = out.hint("rebalance", "crypto_id")
     seen = Observation()
-    by = ("crypto_id",) if by_series else ()
-    replace(out.observe(seen, F.count(F.lit(1)).alias("rows")), root, PARTITION, ingest_date, by)
+    dated = out.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(PARTITION, F.lit(ingest_date))
+    replace(dated, root, PARTITION, ("crypto_id",) if by_series else ())
     rows = seen.get["rows"]
     if not rows and not by_series:
         empty(out, root, PARTITION, ingest_date)
@@ -55,6 +50,44 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
     return path, rows
 
 
+def _place(ticks: DataFrame, root: str, ingest_date: str, by_series: bool) -> str:
+    """The folder of a snapshot, if it can be written like that."""
+    if not is_date(ingest_date):
+        raise ValueError(f"ingest_date is YYYY-MM-DD, not {ingest_date!r}")
+    path = f"{root}/{PARTITION}={ingest_date}"
+    if by_series and "plain" in layout_of(ticks.sparkSession, path):
+        # Files above the series' folders would stay on disk and never be read.
+        raise ValueError(f"{path} is a snapshot that is not split by series; replace it as a whole")
+    return path
+
+
+# What a judged row is, and the ending of the partition that takes it; None is written nowhere.
+KINDS = {"good": "", "refused": "-refused", "unsound": "-unsound", "before": None}
+
+
+def write_judged(rows: DataFrame, root: str, ingest_date: str, by_series: bool = False) -> tuple[dict[str, str], dict[str, int]]:
+    """Write ticks with a `kind` (see KINDS) and a `reason` in one action; returns (paths, rows) by kind.
+
+    Good ticks are the snapshot of `ingest_date`. The others go to partitions of their own
+    beside it, which carry no date and so are no snapshots. All are replaced by the commit of
+    one job, and counted in the stage that writes them. Snapshot files have the (null) reasons too.
+    """
+    _place(rows, root, ingest_date, by_series)
+    out = rows.hint("rebalance", "crypto_id") if by_series else rows
+    seen = Observation()
+    counted = out.observe(seen, *[F.count_if(F.col("kind") == k).alias(k) for k in KINDS])
+    written = {k: f"{PARTITION}={ingest_date}{end}" for k, end in KINDS.items() if end is not None}
+    ending = F.coalesce(*[F.when(F.col("kind") == k, F.lit(end)) for k, end in KINDS.items() if end is not None])
+    dated = counted.filter(F.col("kind").isin(*written)).withColumn(PARTITION, F.concat(F.lit(ingest_date), ending))
+    replace(dated.drop("kind"), root, PARTITION, ("crypto_id",) if by_series else ())
+    counts = dict(seen.get)
+    for kind, partition in written.items():
+        if not counts[kind] and not (by_series and kind == "good"):
+            empty(rows.drop("kind"), root, PARTITION, partition.split("=", 1)[1])
+        mark(rows.sparkSession, root, partition)
+    return {k: f"{root}/{p}" for k, p in written.items()}, counts
+
+
 def write_bars(bars: DataFrame, root: str, run_date: str,
                ordered: bool = False) -> tuple[str, int, int]:
     """Write the bars of a run, replacing an earlier one; returns (path, bars, ticks).
@@ -75,7 +108,7 @@ def write_bars(bars: DataFrame, root: str, run_date: str,
         F.count(F.lit(1)).alias("bars"),
         F.coalesce(F.sum("data_points"), F.lit(0)).alias("ticks"),
     )
-    replace(out, root, RUN_PARTITION, run_date)
+    replace(out.withColumn(RUN_PARTITION, F.lit(run_date)), root, RUN_PARTITION)
     counts = seen.get
     if not counts["bars"]:
         empty(bars, root, RUN_PARTITION, run_date)

@@ -9,6 +9,7 @@ files that no mark names.
 from __future__ import annotations
 
 import hashlib
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ def files_of(spark: SparkSession, folder: str) -> list[str] | None:
         return None
     # The folder's own name occurs last where the relative part begins.
     name = folder.rstrip("/").rsplit("/", 1)[-1] + "/"
-    return sorted(f.rpartition(name)[2] for f in found)
+    return sorted(unquote(f).rpartition(name)[2] for f in found)
 
 
 def _listing(files: list[str]) -> tuple[int, int, str]:
@@ -69,15 +70,15 @@ def whole(spark: SparkSession, root: str, partition: str, known: set[tuple[int,
     return files is not None and _listing(files) in known
 
 
-def replace(out: DataFrame, root: str, column: str, value: str, by: tuple[str, ...] = ()) -> None:
-    """Replace the partition `column=value`, or its parts by `by` that `out` holds.
+def replace(out: DataFrame, root: str, column: str, by: tuple[str, ...] = ()) -> None:
+    """Replace the partitions by `column` that `out` holds, or their parts by `by`.
 
     The files are written aside and take the place of the old ones when the job is
     committed: a job that fails leaves the old ones alone. Needs a committer that can stage
     partitions, as Spark's own for file systems does.
     """
     (
-        out.withColumn(column, F.lit(value)).write.mode("overwrite")
+        out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
         .partitionBy(column, *by).parquet(root)
     )

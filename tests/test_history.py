@@ -6,6 +6,7 @@ import pytest
 
 import barloom as b
 from barloom.functions.pairs import MAX_MS
+from barloom.operators.history import explode_with_rejects
 from barloom.schema import HISTORY, TICKS
 from helpers import DAY0, count_nodes, plan
 
@@ -107,3 +108,25 @@ def test_no_shuffle(spark):
     df = b.explode_history(docs(spark, ("a", [[1.0, 2.0]], None, None)))
     assert count_nodes(df, "Exchange") == 0
     assert "Python" not in plan(df)
+
+
+def test_null_is_not_a_missing_key(spark, tmp_path):
+    point = [[DAY0, 5.0]]
+    landed = {
+        "absent": {}, "null": {"prices": None}, "none": {"prices": []},
+        "null volumes": {"prices": point, "total_volumes": None}, "null caps": {"prices": point, "market_caps": None},
+        "nulls unused": {"prices": [], "total_volumes": None, "market_caps": None},
+        "null first": {"prices": None, "total_volumes": None}, "inside": {"prices": [None], "market_caps": []},
+        "whole": {"prices": [[DAY0, 7]], "total_volumes": [[DAY0, 1e300]], "market_caps": [[DAY0, 0.1]]},
+        "text": {"prices": [[DAY0, "x"]]}, "object": {"market_caps": {"a": 1}, "prices": point}}
+    (tmp_path / "d.json").write_text("\n".join(json.dumps({"id": k, **v}) for k, v in landed.items()))
+    df = b.read_history(spark, str(tmp_path))
+    assert {r["id"]: r["reason"] for r in b.rejected_documents(df).collect()} == {
+        "null": "prices are null", "null volumes": "volumes are null", "null caps": "market caps are null",
+        "null first": "prices are null", "inside": "price is not a pair", "text": "not readable", "object": "not readable"}
+    assert points(b.explode_history(df)) == [("whole", DAY0, 7.0, 1e300, 0.1)]
+    assert {r["id"]: r["points"] for r in b.history_points(df).collect()}["absent"] == 0
+    tagged = explode_with_rejects(df).collect()
+    assert sorted((r["crypto_id"], r["problem"]) for r in tagged if r["problem"]) == sorted(
+        (r["id"], r["reason"]) for r in b.rejected_documents(df).collect())
+    assert [tuple(r)[:-1] for r in tagged if not r["problem"]] == [tuple(r) for r in b.explode_history(df).collect()]

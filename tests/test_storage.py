@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import barloom as b
 from barloom.__main__ import main
 from barloom.functions.time import MS_PER_DAY
+from barloom.plans.ingest import end_of, judged_ticks
 from barloom.schema import METRICS, TICKS, conform
 from helpers import DAY0, count_nodes, model_metrics, plan, scan_rows, ticks
 
@@ -363,6 +364,46 @@ def test_ingest_load_transform(spark, tmp_path):
         assert got.schema == METRICS
 
 
+def landed_inputs(spark, tmp_path):
+    day = MS_PER_DAY
+    docs = [
+        {"id": "a", "prices": [[DAY0 + d * day, 1.0 + d] for d in range(9)]},
+        {"id": "b/c", "prices": [[DAY0 + 8 * day, 2.0], [DAY0 + 20 * day, 3.0]]},
+        {"id": "x" * 51, "prices": [[DAY0 + 8 * day, 2.0]]}, {"id": "bad", "prices": None}, {"id": "none"},
+        {"id": "unlisted", "prices": [[DAY0, 1.0]]}]
+    (tmp_path / "docs").mkdir()
+    (tmp_path / "docs" / "d.json").write_text("\n".join(map(json.dumps, docs)))
+    (tmp_path / "listing.json").write_text(json.dumps([{"id": d["id"], "market_cap": 9 - i} for i, d in enumerate(docs)]))
+    return b.read_listing(spark, str(tmp_path / "listing.json"), multiline=True), b.read_history(spark, str(tmp_path / "docs"))
+
+
+def test_ingest_reads_listing_and_documents_once(spark, tmp_path):
+    listing, histories = landed_inputs(spark, tmp_path)
+    df = judged_ticks(listing, histories, 5, end_of("2024-01-09"), 7)
+    scans = [x for x in plan(df).splitlines() if "FileScan" in x]
+    assert len(scans) == 2 and count_nodes(df, "Generate") == 1, plan(df)
+
+
+@pytest.mark.parametrize("by_series", [False, True])
+def test_ingest_writes_all_kinds_in_one_pass(spark, tmp_path, by_series):
+    listing, histories = landed_inputs(spark, tmp_path)
+    raw = str(tmp_path / "raw")
+    counts = {"ticks": 8, "documents_rejected": 1, "ticks_refused": 2, "ticks_before": 2, "ticks_read": 12}
+    for _ in range(2):  # a rerun replaces all kinds
+        report = b.ingest(listing, histories, raw, "2024-01-09", 5, 7, by_series=by_series)
+        assert report.counts == counts
+        assert b.read_ticks(spark, raw).count() == 8 and b.snapshot_dates(spark, raw) == ["2024-01-09"]
+        refused, unsound = (spark.read.parquet(report.paths[k]) for k in ("refused", "unsound"))
+        assert rows(refused, "reason") == [("crypto_id is too long",), ("timestamp is later than the ingest",)]
+        assert rows(unsound, "crypto_id", "reason") == [("bad", "prices are null")]
+    assert all(f.startswith(report.paths["ticks"]) for f in report.files)
+    if by_series:
+        assert {f.split("/")[-2] for f in report.files} == {"crypto_id=a", "crypto_id=b%2Fc"}
+    sound = histories.filter("id = 'a'")
+    assert b.ingest(listing, sound, raw, "2024-01-09", 5, 7).counts["ticks_refused"] == 0
+    assert spark.read.parquet(report.paths["refused"]).count() == 0
+
+
 def test_transform_counts_what_it_removed(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     data = [("a", DAY0, 1.0), ("a", DAY0, 2.0), ("a", DAY0 + 1, -1.0), ("a", DAY0 + 2, None)]

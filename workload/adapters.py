@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.time import epoch_ms, utc_datetime
 from barloom.operators.cleaning import IN_RANGE
-from barloom.schema import TICKS
+from barloom.schema import NULL_KEYS, TICKS
 
 # Events per page of a history document. Event ids are unique, so no document holds
 # more points than this, however many events a user has.
@@ -121,7 +121,8 @@ def contract_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History documents: one per user and page of events, some of them unsound.
 
-    Volumes end two points early, market caps run one point over.
+    Volumes end two points early, market caps run one point over. Some lack their prices,
+    some hold a null in their place.
     """
     docs = (
         _events(spark, sf_dir)
@@ -150,10 +151,18 @@ def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(pairs, F.array(F.array(F.lit(0.0), F.lit(0.0)))).alias("market_caps"),
             F.when(k.between(15, 19) & (n > 2),
                    F.concat(F.array(short), F.slice(volumes, F.lit(2), n)))
-            .otherwise(volumes).alias("total_volumes"))
+            .otherwise(volumes).alias("total_volumes"),
+            F.when(k.between(3, 4), F.array(F.lit("prices"))).otherwise(F.array().cast("array<string>")).alias(NULL_KEYS))
     )
 
 
+def landed(docs: DataFrame) -> DataFrame:
+    """The documents as lines of JSON: a null of NULL_KEYS is written, a missing key is not."""
+    keys = F.struct(*[c for c in docs.columns if c != NULL_KEYS])
+    return docs.select(F.when(F.size(NULL_KEYS) > 0, F.to_json(keys, {"ignoreNullFields": "false"}))
+                       .otherwise(F.to_json(keys)).alias("value"))
+
+
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market listing of the users; the sum of a user's values stands for the market cap."""
     return (

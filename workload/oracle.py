@@ -136,7 +136,7 @@ DOCS = f"""{EVENTS}, paged AS (
          page_order AS (PARTITION BY uid, event_id // {PAGE} ORDER BY ms, event_id),
          page_start AS (PARTITION BY uid, event_id // {PAGE} ORDER BY event_id)),
 docs AS (
-  SELECT *, CASE WHEN k BETWEEN 5 AND 9 THEN 'price is not a pair'
+  SELECT *, CASE WHEN k BETWEEN 3 AND 4 THEN 'prices are null' WHEN k BETWEEN 5 AND 9 THEN 'price is not a pair'
                  WHEN k BETWEEN 10 AND 14 THEN 'no instant'
                  WHEN k BETWEEN 15 AND 19 AND n > 2 THEN 'volume is not a pair' END AS reason
   FROM paged)"""

@@ -236,14 +236,14 @@ def history_rejects(spark, sf):
 @_query
 def history_json(spark, sf):
     folder = scratch_folder(spark)
-    a.histories(spark, sf).write.json(folder)
+    a.landed(a.histories(spark, sf)).write.text(folder)
     return b.explode_history(b.read_history(spark, folder)).select(*TICK)
 
 
 @_query
 def history_json_rejects(spark, sf):
     folder = scratch_folder(spark)
-    a.histories(spark, sf).write.json(folder)
+    a.landed(a.histories(spark, sf)).write.text(folder)
     return b.rejected_documents(b.read_history(spark, folder)).groupBy("id", "reason").agg(
         F.count(F.lit(1)).alias("documents"))
 
