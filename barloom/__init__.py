@@ -23,6 +23,7 @@ from barloom.operators.selection import (
     FULL_PROFILE,
     SMALL_PROFILE,
     lookback,
+    lookup,
     restrict_to,
     restrict_to_top_k,
     series_ids,

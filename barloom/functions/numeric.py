@@ -5,30 +5,10 @@ They take and give SQL text: one expression, one call from Python to the JVM.
 
 from __future__ import annotations
 
-# How far from a tie, in units of the last digit, the quick way of `half_up` keeps, and
-# up to which size its product is that exact.
-_TIE = 1e-3
-_EXACT = 1e11
-
-
-def half_up(x: str, digits: int) -> str:
-    """`round(x, digits)`, quicker.
-
-    `round` goes through the decimal text of a double. That text matters only near a
-    tie; elsewhere the nearest multiple is the same and comes from plain arithmetic.
-    `x` is used several times over: give it a column or an aggregate, not a window.
-    """
-    unit = f"{10 ** digits}D"
-    scaled = f"(({x}) * {unit})"
-    return (
-        f"CASE WHEN abs({scaled} - floor({scaled}) - 0.5D) > {_TIE}D"
-        f" AND abs({scaled}) < {_EXACT:.0f}D"
-        f" THEN floor({scaled} + 0.5D) / {unit} ELSE round({x}, {digits}) END")
-
 
 def pct_change(now: str, before: str) -> str:
     """Change in percent, two decimals; null where `before` is null or zero."""
-    return half_up(f"try_divide({now} - {before}, {before}) * 100", 2)
+    return f"round(try_divide({now} - {before}, {before}) * 100, 2)"
 
 
 def present(name: str, sql_type: str) -> str:

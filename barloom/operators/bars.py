@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.numeric import half_up
 from barloom.functions.time import utc_datetime, utc_day
 
 
@@ -49,7 +48,7 @@ def daily_bars(ticks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("data_points"),
     ).select(
         "crypto_id", "date", "open", "high", "low", "close", "volume",
-        F.expr(half_up("_caps / nullif(_with_cap, 0)", 0)).alias("market_cap"), "data_points")
+        F.expr("round(_caps / nullif(_with_cap, 0), 0)").alias("market_cap"), "data_points")
 
 
 # A stretch of time within a day for which ticks are rolled up before bars are put together.
@@ -90,7 +89,7 @@ def merge_bars(partial: DataFrame) -> DataFrame:
         F.sum("ticks").alias("data_points"),
     ).select(
         "crypto_id", "date", "open", "high", "low", "close", "volume",
-        F.expr(half_up("_caps / nullif(_with_cap, 0)", 0)).alias("market_cap"), "data_points")
+        F.expr("round(_caps / nullif(_with_cap, 0), 0)").alias("market_cap"), "data_points")
 
 
 def bar_counts(bars: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barloom.functions.numeric import half_up, pct_change
+from barloom.functions.numeric import pct_change
 
 # Rounded once the window has them.
 _ROUNDED = ("ma_7d", "ma_30d", "volatility_7d")
@@ -59,7 +59,7 @@ def _changes() -> dict[str, Column]:
 
 def _rounded(windowed: DataFrame) -> DataFrame:
     names = [c for c in _ROUNDED if c in windowed.columns]
-    return windowed.withColumns({c: F.expr(half_up(c, 2)) for c in names})
+    return windowed.withColumns({c: F.round(c, 2) for c in names})
 
 
 def moving_averages(bars: DataFrame, calendar: bool = False) -> DataFrame:
@@ -86,7 +86,7 @@ def add_metrics(bars: DataFrame, calendar: bool = False) -> DataFrame:
     """Add the columns of `moving_averages`, `price_changes` and `volatility`."""
     averages, spread = _averages(calendar), _spread(calendar)
     windowed = bars.withColumns({**averages, **_lags(calendar), **spread})
-    rounded = {c: F.expr(half_up(c, 2)).alias(c) for c in _ROUNDED}
+    rounded = {c: F.round(c, 2).alias(c) for c in _ROUNDED}
     changes = [c.alias(name) for name, c in _changes().items()]
     return windowed.select(
         *bars.columns, *[rounded[c] for c in averages], *changes, *[rounded[c] for c in spread])

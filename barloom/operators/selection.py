@@ -68,3 +68,18 @@ def lookback(ticks: DataFrame, days: int = FULL_PROFILE[1], until_ms: int | None
         return ticks.filter((ts > until_ms - days * MS_PER_DAY) & (ts <= until_ms))
     latest = ticks.agg(F.max("timestamp")).scalar()
     return ticks.filter(ts > latest - days * MS_PER_DAY)
+
+
+def lookup(ticks: DataFrame, series: list[str] | None = None, since_ms: int | None = None,
+           until_ms: int | None = None) -> DataFrame:
+    """Ticks of some series and of a stretch of time, both ends included; None is no bound.
+
+    Plain predicates, which reach the scan: a clustered snapshot opens few files for them.
+    """
+    if series is not None:
+        ticks = ticks.filter(F.col("crypto_id").isin(*series))
+    if since_ms is not None:
+        ticks = ticks.filter(F.col("timestamp") >= since_ms)
+    if until_ms is not None:
+        ticks = ticks.filter(F.col("timestamp") <= until_ms)
+    return ticks

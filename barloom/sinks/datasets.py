@@ -10,6 +10,8 @@ earlier write of that date stays readable. A finished write is marked (see `mark
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -18,10 +20,35 @@ from barloom.sinks.marks import empty, mark, replace
 from barloom.sources.snapshots import PARTITION, is_date, layout_of
 
 RUN_PARTITION = "run_date"
+BLOOM = {"parquet.bloom.filter.enabled#crypto_id": "true"}
+
+
+# Ways to cluster the files of a snapshot.
+CLUSTERED = (False, True, "both")
+
+
+def _two_ways(ticks: DataFrame, files: int | None) -> DataFrame:
+    """Ticks ranged by (stretch of time, crypto_id, timestamp) into about `files` files.
+
+    There are about as many stretches as files in one of them, with like numbers of ticks: a
+    lookup by time opens the files of a stretch or two, one by series a file or two of
+    each stretch. The ends of the stretches come from a quantile sketch of the timestamps,
+    one number a stretch. Copies of a tick are dealt like other rows.
+    """
+    files = files or int(ticks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stretches = max(1, math.isqrt(files))
+    cuts = [i / stretches for i in range(1, stretches)]
+    ends = ticks.agg(F.percentile_approx("timestamp", cuts, 100 * stretches)).first()[0] if cuts else []
+    stretch = F.lit(0)
+    for end in ends or []:
+        stretch = stretch + (F.col("timestamp") > end).cast("int")
+    placed = ticks.withColumn("_stretch", F.coalesce(stretch, F.lit(0))).withColumn("_copy", F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange(files, "_stretch", "crypto_id", "timestamp", "_copy")
+    return ranged.sortWithinPartitions("_stretch", "crypto_id", "timestamp").drop("_stretch", "_copy")
 
 
 def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool = False,
-                clustered: bool = False) -> tuple[str, int]:
+                clustered: bool | str = False, files: int | None = None) -> tuple[str, int]:
     """Write the snapshot of `ingest_date`; returns (path, rows).
 
     By default the snapshot is replaced as a whole. `by_series` splits it by series
@@ -29,12 +56,19 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
     holds a plain snapshot. `clustered` sorts the
     files by (crypto_id, timestamp), so that Parquet statistics serve lookups by series
     and time. The range covers both columns, so a large series spreads over many files.
+    `clustered="both"` serves lookups by time alone as well (see `_two_ways`), at the price of
+    a pass for the quantiles; about `files` files, by default one a shuffle partition. Clustered
+    files have a bloom filter on crypto_id.
     """
+    if clustered not in CLUSTERED:
+        raise ValueError(f"clustered is one of {CLUSTERED}, not {clustered!r}")
     if by_series and clustered:
         raise ValueError("choose one of by_series and clustered")
     path = _place(ticks, root, ingest_date, by_series)
     out = conform(ticks, TICKS)
-    if clustered:
+    if clustered == "both":
+        out = _two_ways(out, files)
+    elif clustered:
         out = out.repartitionByRange("crypto_id", "timestamp").sortWithinPartitions(
             "crypto_id", "timestamp")
     if by_series:
@@ -42,7 +76,7 @@ def write_ticks(ticks: DataFrame, root: str, ingest_date: str, by_series: bool =
         out = out.hint("rebalance", "crypto_id")
     seen = Observation()
     dated = out.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn(PARTITION, F.lit(ingest_date))
-    replace(dated, root, PARTITION, ("crypto_id",) if by_series else ())
+    replace(dated, root, PARTITION, ("crypto_id",) if by_series else (), BLOOM if clustered else {})
     rows = seen.get["rows"]
     if not rows and not by_series:
         empty(out, root, PARTITION, ingest_date)

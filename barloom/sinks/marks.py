@@ -70,7 +70,7 @@ def whole(spark: SparkSession, root: str, partition: str, known: set[tuple[int,
     return files is not None and _listing(files) in known
 
 
-def replace(out: DataFrame, root: str, column: str, by: tuple[str, ...] = ()) -> None:
+def replace(out: DataFrame, root: str, column: str, by: tuple[str, ...] = (), options: dict[str, str] | None = None) -> None:
     """Replace the partitions by `column` that `out` holds, or their parts by `by`.
 
     The files are written aside and take the place of the old ones when the job is
@@ -80,7 +80,7 @@ def replace(out: DataFrame, root: str, column: str, by: tuple[str, ...] = ()) ->
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
-        .partitionBy(column, *by).parquet(root)
+        .options(**options or {}).partitionBy(column, *by).parquet(root)
     )
 
 

@@ -120,6 +120,31 @@ def test_conform(spark):
         conform(df.drop("volume"), TICKS)
 
 
+def test_snapshot_serves_lookups_by_series_and_by_time(spark, tmp_path):
+    hour = 3_600_000
+    data = [(f"s{i % 40:02}", DAY0 + (i // 40) * hour, float(i)) for i in range(40 * 250)]
+    data += [("s07", DAY0, 1.0)] * 500
+    df = ticks(spark, data).repartition(4)
+    read = {}
+    for way in (True, "both"):
+        root = str(tmp_path / str(way))
+        assert b.write_ticks(df, root, "2024-01-01", clustered=way, files=25)[1] == len(data)
+        got = b.read_ticks(spark, root)
+        assert rows(got) == sorted(data)
+        by_series, by_time = b.lookup(got, ["s11"]), b.lookup(got, None, DAY0 + 100 * hour, DAY0 + 109 * hour)
+        assert rows(by_series) == sorted(r for r in data if r[0] == "s11")
+        assert by_time.count() == 400
+        read[way] = (scan_rows(by_series, "crypto_id"), scan_rows(by_time, "crypto_id"))
+    # Sorted by series only, a lookup by time opens about all; two ways, a fraction for both.
+    assert read[True][1] > 0.9 * len(data)
+    assert max(read["both"]) < 0.45 * len(data)
+    assert rows(b.lookup(got, ["s11", "s12"], DAY0, DAY0 + hour)) == sorted(
+        r for r in data if r[0] in ("s11", "s12") and r[1] <= DAY0 + hour)
+    assert b.write_ticks(ticks(spark, []), str(tmp_path / "none"), "2024-01-01", clustered="both")[1] == 0
+    with pytest.raises(ValueError):
+        b.write_ticks(df, root, "2024-01-01", clustered="x")
+
+
 def failing(df, column="price", least=3.0):
     """The same rows, until one with a value of `least` or more is met."""
     return df.filter(F.assert_true(F.col(column) < least, F.lit("unsound")).isNull())

@@ -294,6 +294,8 @@ ORACLE: dict[str, str] = {
     "snapshot_by_series": f"""WITH {BY_TYPE} SELECT timestamp, crypto_id, price,
         CASE WHEN crypto_id = 'click' THEN volume + 1 ELSE volume END AS volume, market_cap
         FROM ticks""",
+    "lookup_by_series": f"{_BY_USER} WHERE crypto_id IN ('7', '11')",
+    "lookup_by_time": f"{_BY_USER} WHERE timestamp BETWEEN {HALF_WAY_MS} AND {HALF_WAY_MS} + 86400000",
     "legacy_snapshot_combined": _BY_TYPE,
     "legacy_snapshot_series_files": _BY_TYPE,
     "legacy_mixed_types": f"""WITH {BY_TYPE} SELECT timestamp, crypto_id, price,

@@ -334,6 +334,22 @@ def snapshot_by_series(spark, sf):
     return b.read_ticks(spark, root).select(*TICK)
 
 
+def _two_way_snapshot(spark, sf):
+    root = scratch_folder(spark)
+    b.write_ticks(a.ticks_by_user(spark, sf), root, LATEST, clustered="both", files=16)
+    return b.read_ticks(spark, root)
+
+
+@_query
+def lookup_by_series(spark, sf):
+    return b.lookup(_two_way_snapshot(spark, sf), ["7", "11"]).select(*TICK)
+
+
+@_query
+def lookup_by_time(spark, sf):
+    return b.lookup(_two_way_snapshot(spark, sf), None, HALF_WAY_MS, HALF_WAY_MS + 86_400_000).select(*TICK)
+
+
 @_query
 def latest_finished_snapshot(spark, sf):
     # The newest folder was not written to its end.
