@@ -16,9 +16,14 @@ The tree, from the root:
    each, and box pairs of one cell are joined where the corners' bound allows a link.
 3. Points. Pairs of sets that pass the points' bound are verified on their shingles.
 
-Before step 2 each set of a cell is compared with the cell's first one only (by points, then
-shingles); sets that are connected by then need no further comparison. Equal sets are one
-node throughout, so copies cost a row each and no pairs.
+Before the cells, shingles that only one set of all cells has are found; no link can use them.
+A set leaves that has too many of them to link to anything, and the others' points count
+their other shingles only, so that the bounds see what can be shared.
+
+Before step 2 each set of a cell is compared with the cell's centre only (by points, then
+shingles), the set with the fewest shingles of its own; sets that are connected by then need
+no further comparison. Equal sets are one node throughout, so copies cost a row each and no
+pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +41,6 @@ from pyspark.sql import types as T
 from .common import columns_of, id_text, stored, table, words_of
 
 GROUPS = 64
-COARSE = 16
 COUNTERS = 1 << 20
 BOX_SETS = 128
 FILTER_BITS = 1 << 24
@@ -143,25 +147,53 @@ def _sets(n: int, percent: int, counts):
     return run
 
 
-def _wanted(n: int, bitmap, column: str):
-    """Rows (node, n, point) or (node, shingles) of the texts whose slot the bitmap may hold."""
+def _wanted(n: int, bitmap):
+    """Rows (node, shingles) of the texts whose slot the bitmap may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
         for slots, texts in columns_of(batches, "slot", "text"):
             own = [t for i, t in zip(slots, texts, strict=True) if bits[i >> 3] >> (i & 7) & 1]
             for at in range(0, len(own), 256):
                 sets = [s for t in own[at:at + 256] if len(s := shingles(t, n))]
-                nodes = pa.array([_digest(s) for s in sets], pa.int64())
-                if column == "point":
-                    yield pa.RecordBatch.from_arrays([
-                        nodes, pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([point(s) for s in sets], pa.list_(pa.int32()))], ["node", "n", "point"])
-                else:
-                    yield pa.RecordBatch.from_arrays(
-                        [nodes, pa.array([_longs(s) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_digest(s) for s in sets], pa.int64()),
+                     pa.array([_longs(s) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
     return run
 
 
+def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (node, shingles, own) to (node, n, shared, point): the point of the shingles but its own."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            nodes, n, shared, points = [], [], [], []
+            for node, s, own in zip(*(part.column(i) for i in range(3)), strict=True):
+                s = s.values.to_numpy()
+                left = s if own.as_py() is None else np.setdiff1d(s, own.values.to_numpy(), assume_unique=True)
+                nodes.append(node.as_py())
+                n.append(len(s))
+                shared.append(len(left))
+                points.append(point(left.view(np.uint64)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes, pa.int64()), pa.array(n, pa.int64()), pa.array(shared, pa.int64()),
+                 pa.array(points, pa.list_(pa.int32()))], ["node", "n", "shared", "point"])
+
+
+def points_of(sets: DataFrame, percent: int) -> DataFrame:
+    """(node, n, shared, point) of the sets (node, shingles) that can link to another one.
+
+    `shared` is the number of shingles that another of the sets has as well; a link of J
+    percent needs that of a hundred. The shingles of one set only are few columns, found by
+    combined minima: no shingle, however common, gathers its sets.
+    """
+    owners = sets.select("node", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(
+        F.min("node").alias("node"), F.max("node").alias("last")).where("node = last")
+    own = owners.groupBy("node").agg(F.collect_list("shingle").alias("own"))
+    points = sets.join(own, "node", "left").select("node", "shingles", "own").mapInArrow(
+        _points, "node long, n long, shared long, point array<int>")
+    return points.where(100 * F.col("shared") >= percent * F.col("n"))
+
+
 class Texts:
     """Texts with the first document of each node, read again for the nodes that are asked for."""
 
@@ -169,14 +201,15 @@ class Texts:
         self.texts, self.n = texts.withColumn("slot", _slot("doc_id")), n
         self.ids = found.where("node is not null").select("doc_id", "node")
 
-    def of(self, nodes: DataFrame, column: str) -> DataFrame:
-        """column: point (with n), or shingles. A filter of fixed size picks the texts, so a
-        few others come along; a join on the node leaves them behind."""
+    def of(self, nodes: DataFrame) -> DataFrame:
+        """(node, shingles), one row a node. A filter of fixed size picks the texts, so a few
+        others come along; a join on the node leaves them behind."""
+        nodes = stored(nodes)
         ids = self.ids.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
         bitmap = self.texts.sparkSession.sparkContext.broadcast(
             _bitmap(ids.select((_slot("doc_id") + 1).alias("slot"))))
-        kind = "node long, n long, point array<int>" if column == "point" else "node long, shingles array<long>"
-        return stored(self.texts.mapInArrow(_wanted(self.n, bitmap, column), kind))
+        read = self.texts.mapInArrow(_wanted(self.n, bitmap), "node long, shingles array<long>")
+        return stored(read.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
 
 
 def bound_allows(a: Column, b: Column, size_a: Column, size_b: Column, percent: int) -> Column:
@@ -201,7 +234,7 @@ def _slot(column: str) -> Column:
     return (F.xxhash64(column) % FILTER_BITS + FILTER_BITS) % FILTER_BITS
 
 
-def _verified(pairs: DataFrame, points: DataFrame, texts: Texts, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) the linked ones: by points first, the rest by their shingles."""
     def both(rows: DataFrame, of: DataFrame, *cols: str) -> DataFrame:
         for side in ("a", "b"):
@@ -214,7 +247,7 @@ def _verified(pairs: DataFrame, points: DataFrame, texts: Texts, percent: int) -
     near = stored(both(sizes, points, "point").where(bound_allows(
         F.col("point_a"), F.col("point_b"), F.col("n_a"), F.col("n_b"), percent)).select(
         "a", "b", "n_a", "n_b").distinct())
-    sets = texts.of(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "shingles")
+    sets = sets.join(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "node", "left_semi")
     overlap = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return both(near, sets, "shingles").where(
         (100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
@@ -256,8 +289,7 @@ def components(edges: DataFrame) -> DataFrame:
 def _boxes(residual: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of one cell and different roots that the tree's bounds let through.
 
-    residual: (cell, node, root, n, point), with points of COARSE coordinates, sums of the
-    full ones. A box holds the points of one tile (steps of size and of the first two
+    residual: (cell, node, root, n, point). A box holds the points of one tile (steps of size and of the first two
     coordinates); a tile with more than BOX_SETS points is dealt to several boxes by hash, all
     compared with each other. Boxes are joined on their corners, then points of the surviving
     boxes on theirs.
@@ -272,8 +304,8 @@ def _boxes(residual: DataFrame, percent: int) -> DataFrame:
         "cell", "box", "node", "root", "n", "point"))
     corners = rows.groupBy("cell", "box").agg(
         F.min("n").alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"),
-        *[F.max(F.col("point")[i]).alias(f"x{i}") for i in range(COARSE)]).select(
-        "cell", "box", "n", "r0", "r1", F.array(*[F.col(f"x{i}") for i in range(COARSE)]).alias("corner"))
+        *[F.max(F.col("point")[i]).alias(f"x{i}") for i in range(GROUPS)]).select(
+        "cell", "box", "n", "r0", "r1", F.array(*[F.col(f"x{i}") for i in range(GROUPS)]).alias("corner"))
     one, two = corners.alias("one"), corners.alias("two")
     pairs = one.join(two, (F.col("one.cell") == F.col("two.cell")) & (F.col("one.box") <= F.col("two.box"))
                      & ~((F.col("one.r0") == F.col("one.r1")) & (F.col("two.r0") == F.col("two.r1"))
@@ -313,26 +345,28 @@ def _found_and_roots(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     counts = spark.sparkContext.broadcast(word_counts(texts))
     found = stored(texts.mapInArrow(
         _sets(n, percent, counts), "doc_id long, node long, n_shingles long, cells array<long>"))
-    members = found.where("node is not null").select(F.explode("cells").alias("cell"), "node")
-    shared = members.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
-        "first <> last").select("cell", "first")
-    members = stored(members.join(shared, "cell").distinct())
-    spread = stored(members.where("first <> node").select(
-        F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct())
-    own = Texts(texts, found, n)
-    points = own.of(members.select("node").distinct(), "point").dropDuplicates(["node"])
-    points = stored(points)
-    links = stored(_verified(spread, points, own, percent))
+    cells = found.where("node is not null").select(F.explode("cells").alias("cell"), "node")
+    several = cells.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
+        "first <> last").select("cell")
+    members = stored(cells.join(several, "cell").distinct())
+    sets = Texts(texts, found, n).of(members.select("node").distinct())
+    points = stored(points_of(sets, percent))
+    # Centres: the fewest shingles of its own, of as many the smallest set, then the smallest node.
+    typical = F.struct((F.col("n") - F.col("shared")).alias("own"), "n", "node")
+    members = stored(members.join(points.select("node", "n", "shared"), "node"))
+    centres = members.groupBy("cell").agg(F.min(typical).alias("centre"), F.count("*").alias("sets")).where(
+        "sets > 1").select("cell", F.col("centre.node").alias("centre"))
+    members = members.select("cell", "node")
+    spread = stored(members.join(centres, "cell").where("centre <> node").select(
+        F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct())
+    links = stored(_verified(spread, points, sets, percent))
     roots = stored(components(links))
     rooted = members.join(roots, "node", "left").select(
         "cell", "node", F.coalesce("root", "node").alias("root"))
     apart = rooted.groupBy("cell").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where(
         "r0 <> r1").select("cell")
-    step = GROUPS // COARSE
-    coarse = F.array(*[sum((F.col("point")[i + k] for k in range(1, step)), F.col("point")[i])
-                       for i in range(0, GROUPS, step)])
-    residual = rooted.join(apart, "cell").join(points.select("node", "n", coarse.alias("point")), "node")
-    more = stored(_verified(_boxes(residual, percent), points, own, percent))
+    residual = rooted.join(apart, "cell").join(points.select("node", "n", "point"), "node")
+    more = stored(_verified(_boxes(residual, percent), points, sets, percent))
     if more.limit(1).count():
         joined = more
         for side in ("a", "b"):
@@ -366,20 +400,20 @@ def op3_jaccard_join(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
-def _with_nodes(n: int, text_col: str):
-    """The rows with their node; blank ones with a hash of the text and `_blank`."""
+def _with_nodes(n: int, text_col: str, names: list[str]):
+    """The rows with their node; blank ones with a hash of the text, and whether they are blank."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            nodes, blank = [], []
-            for t in texts:
-                s = shingles(t or "", n)
-                blank.append(not len(s))
-                nodes.append(_digest(s) if len(s) else -1 if t is None else xxhash.xxh3_64_intdigest(
-                    t.encode("utf-8", "surrogatepass")) >> 1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(nodes, pa.int64()), pa.array(blank, pa.bool_())],
-                [*batch.schema.names, "_node", "_blank"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                nodes, blank = [], []
+                for t in part.column(part.schema.get_field_index(text_col)).to_pylist():
+                    s = shingles(t or "", n)
+                    blank.append(not len(s))
+                    nodes.append(_digest(s) if len(s) else -1 if t is None else xxhash.xxh3_64_intdigest(
+                        t.encode("utf-8", "surrogatepass")) >> 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(nodes, pa.int64()), pa.array(blank, pa.bool_())], [*part.schema.names, *names])
     return run
 
 
@@ -387,21 +421,24 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, all columns: that of the least doc_id (null ids last), of
     those the least node. Rows of one id with unlike texts are in components of their own, and
     each stays; so do null ids. Of rows equal in id and node one stays, the same in any order of
-    the rows. Blank texts stay, but for rows equal in id and text.
+    the rows. Blank texts stay, but for rows equal in id and text. Other columns may have any name.
     """
-    id_is_null, key = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    keys = ["_null", "_key", "_node"]
+    mark = "_"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark += "_"
+    null, key, node, blank, first_, row_ = (mark + c for c in ("null", "key", "node", "blank", "first", "row"))
     least = _least_ids(*_found_and_roots(id_text(docs), n, percent))
     first = stored(least.groupBy("root").agg(
-        F.min(F.struct(F.col("least").isNull().alias("_null"), F.coalesce("least", F.lit(0)).alias("_key"),
-                       F.col("node").alias("_node"))).alias("of")).select("of.*", F.lit(True).alias("_first")))
-    nodes = T.StructType([*docs.schema.fields, T.StructField("_node", T.LongType()), T.StructField("_blank", T.BooleanType())])
-    rows = docs.mapInArrow(_with_nodes(n, "text"), nodes)
+        F.min(F.struct(F.col("least").isNull().alias(null), F.coalesce("least", F.lit(0)).alias(key),
+                       F.col("node").alias(node))).alias("of")).select("of.*", F.lit(True).alias(first_)))
+    nodes = T.StructType([*docs.schema.fields, T.StructField(node, T.LongType()), T.StructField(blank, T.BooleanType())])
+    rows = docs.mapInArrow(_with_nodes(n, "text", [node, blank]), nodes)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     # one shuffle of the texts: combined by task, then joined where they lie
-    one = rows.withColumn("_null", id_is_null).withColumn("_key", key).groupBy(keys).agg(
-        F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row"), F.max("_blank").alias("_blank"))
-    return one.join(first, keys, "left").where("_blank or _first").select("_row.*")
+    one = rows.withColumn(null, F.col("doc_id").isNull()).withColumn(
+        key, F.coalesce(F.col("doc_id").cast("long"), F.lit(0))).groupBy(null, key, node).agg(
+        F.min_by(row, F.xxhash64(F.to_json(row))).alias(row_), F.max(blank).alias(blank))
+    return one.join(first, [null, key, node], "left").where(F.col(blank) | F.col(first_)).select(f"{row_}.*")
 
 
 ORACLE_OP3 = r"""
