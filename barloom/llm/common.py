@@ -55,6 +55,12 @@ def columns_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple
             yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
 
 
+def in_slices(column: pa.Array, rows: int = 512) -> Iterator[list]:
+    """The values of a batch's column, a slice at a time."""
+    for at in range(0, len(column), rows):
+        yield column.slice(at, rows).to_pylist()
+
+
 def words_of(text: str) -> list[bytes]:
     """Runs of other characters than space and \\t..\\r, A-Z in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split()

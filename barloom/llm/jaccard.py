@@ -16,14 +16,13 @@ The tree, from the root:
    each, and box pairs of one cell are joined where the corners' bound allows a link.
 3. Points. Pairs of sets that pass the points' bound are verified on their shingles.
 
-Before the cells, shingles that only one set of all cells has are found; no link can use them.
-A set leaves that has too many of them to link to anything, and the others' points count
-their other shingles only, so that the bounds see what can be shared.
-
-Before step 2 each set of a cell is compared with the cell's centre only (by points, then
-shingles), the set with the fewest shingles of its own; sets that are connected by then need
-no further comparison. Equal sets are one node throughout, so copies cost a row each and no
-pairs.
+Before step 2 each set of a cell is compared with one set of it only (by points, then
+shingles); sets that are connected by then need no further comparison. For the cells that are
+not, this is done twice: with their first set, then with the most typical one. For the second
+time, shingles that only one set of these cells has are found; no link can use them. A set
+leaves that has too many of them to link to anything, the others' points count their other
+shingles only, so that the bounds see what can be shared, and the set with the fewest is the
+typical one. Equal sets are one node throughout, so copies cost a row each and no pairs.
 """
 
 from __future__ import annotations
@@ -147,17 +146,22 @@ def _sets(n: int, percent: int, counts):
     return run
 
 
-def _wanted(n: int, bitmap):
-    """Rows (node, shingles) of the texts whose slot the bitmap may hold."""
+def _wanted(n: int, bitmap, column: str):
+    """Rows (node, n, point) or (node, shingles) of the texts whose slot the bitmap may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
         for slots, texts in columns_of(batches, "slot", "text"):
             own = [t for i, t in zip(slots, texts, strict=True) if bits[i >> 3] >> (i & 7) & 1]
             for at in range(0, len(own), 256):
                 sets = [s for t in own[at:at + 256] if len(s := shingles(t, n))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([_digest(s) for s in sets], pa.int64()),
-                     pa.array([_longs(s) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
+                nodes = pa.array([_digest(s) for s in sets], pa.int64())
+                if column == "point":
+                    yield pa.RecordBatch.from_arrays([
+                        nodes, pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([point(s) for s in sets], pa.list_(pa.int32()))], ["node", "n", "point"])
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [nodes, pa.array([_longs(s) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
     return run
 
 
@@ -201,14 +205,15 @@ class Texts:
         self.texts, self.n = texts.withColumn("slot", _slot("doc_id")), n
         self.ids = found.where("node is not null").select("doc_id", "node")
 
-    def of(self, nodes: DataFrame) -> DataFrame:
-        """(node, shingles), one row a node. A filter of fixed size picks the texts, so a few
-        others come along; a join on the node leaves them behind."""
+    def of(self, nodes: DataFrame, column: str) -> DataFrame:
+        """(node, n, point) or (node, shingles), one row a node. A filter of fixed size picks the
+        texts, so a few others come along; a join on the node leaves them behind."""
         nodes = stored(nodes)
         ids = self.ids.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
         bitmap = self.texts.sparkSession.sparkContext.broadcast(
             _bitmap(ids.select((_slot("doc_id") + 1).alias("slot"))))
-        read = self.texts.mapInArrow(_wanted(self.n, bitmap), "node long, shingles array<long>")
+        kind = "node long, n long, point array<int>" if column == "point" else "node long, shingles array<long>"
+        read = self.texts.mapInArrow(_wanted(self.n, bitmap, column), kind)
         return stored(read.join(nodes, "node", "left_semi").dropDuplicates(["node"]))
 
 
@@ -234,8 +239,9 @@ def _slot(column: str) -> Column:
     return (F.xxhash64(column) % FILTER_BITS + FILTER_BITS) % FILTER_BITS
 
 
-def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) the linked ones: by points first, the rest by their shingles."""
+def _verified(pairs: DataFrame, points: DataFrame, sets: Texts | DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b) the linked ones: by points first, the rest by their shingles, which
+    come from (node, shingles) or are read from the texts."""
     def both(rows: DataFrame, of: DataFrame, *cols: str) -> DataFrame:
         for side in ("a", "b"):
             rows = rows.join(of.select(F.col("node").alias(side),
@@ -247,7 +253,8 @@ def _verified(pairs: DataFrame, points: DataFrame, sets: DataFrame, percent: int
     near = stored(both(sizes, points, "point").where(bound_allows(
         F.col("point_a"), F.col("point_b"), F.col("n_a"), F.col("n_b"), percent)).select(
         "a", "b", "n_a", "n_b").distinct())
-    sets = sets.join(near.select(F.col("a").alias("node")).union(near.select("b")).distinct(), "node", "left_semi")
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    sets = sets.of(nodes, "shingles") if isinstance(sets, Texts) else sets.join(nodes, "node", "left_semi")
     overlap = F.size(F.array_intersect("shingles_a", "shingles_b"))
     return both(near, sets, "shingles").where(
         (100 + percent) * overlap >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct()
@@ -345,39 +352,56 @@ def _found_and_roots(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     counts = spark.sparkContext.broadcast(word_counts(texts))
     found = stored(texts.mapInArrow(
         _sets(n, percent, counts), "doc_id long, node long, n_shingles long, cells array<long>"))
-    cells = found.where("node is not null").select(F.explode("cells").alias("cell"), "node")
-    several = cells.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
-        "first <> last").select("cell")
-    members = stored(cells.join(several, "cell").distinct())
-    sets = Texts(texts, found, n).of(members.select("node").distinct())
+    members = found.where("node is not null").select(F.explode("cells").alias("cell"), "node")
+    shared = members.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
+        "first <> last").select("cell", F.col("first").alias("centre"))
+    members = stored(members.join(shared, "cell").distinct())
+    own = Texts(texts, found, n)
+    points = own.of(members.select("node").distinct(), "point")
+    roots = stored(components(_verified(_spokes(members), points, own, percent)))
+    members = stored(_apart(members, roots))
+
+    sets = own.of(members.select("node").distinct(), "shingles")
     points = stored(points_of(sets, percent))
-    # Centres: the fewest shingles of its own, of as many the smallest set, then the smallest node.
-    typical = F.struct((F.col("n") - F.col("shared")).alias("own"), "n", "node")
-    members = stored(members.join(points.select("node", "n", "shared"), "node"))
-    centres = members.groupBy("cell").agg(F.min(typical).alias("centre"), F.count("*").alias("sets")).where(
-        "sets > 1").select("cell", F.col("centre.node").alias("centre"))
-    members = members.select("cell", "node")
-    spread = stored(members.join(centres, "cell").where("centre <> node").select(
+    members = members.join(points.select("node", "n", "shared"), "node")
+    # Typical: the fewest shingles of its own, of as many the smallest set, then the smallest node.
+    typical = F.min(F.struct((F.col("n") - F.col("shared")).alias("own"), "n", "node"))
+    centres = members.groupBy("cell").agg(typical.alias("of")).select(
+        "cell", F.col("of.node").alias("centre"))
+    members = stored(members.select("cell", "node").join(centres, "cell"))
+    roots = _merged(roots, stored(_verified(_spokes(members), points, sets, percent)))
+
+    residual = _apart(members, roots).join(points.select("node", "n", "point"), "node")
+    return found, _merged(roots, stored(_verified(_boxes(residual, percent), points, sets, percent)))
+
+
+def _spokes(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each set of a cell and the cell's centre."""
+    return stored(members.where("centre <> node").select(
         F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct())
-    links = stored(_verified(spread, points, sets, percent))
-    roots = stored(components(links))
-    rooted = members.join(roots, "node", "left").select(
-        "cell", "node", F.coalesce("root", "node").alias("root"))
-    apart = rooted.groupBy("cell").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where(
+
+
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(cell, node, root) of the cells whose sets are not connected yet. A cell's centre has been
+    compared with all of them, and leaves."""
+    rooted = members.where("node <> centre").join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root"))
+    several = rooted.groupBy("cell").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where(
         "r0 <> r1").select("cell")
-    residual = rooted.join(apart, "cell").join(points.select("node", "n", "point"), "node")
-    more = stored(_verified(_boxes(residual, percent), points, sets, percent))
-    if more.limit(1).count():
-        joined = more
-        for side in ("a", "b"):
-            joined = joined.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")),
-                                 side, "left")
-        upper = stored(components(joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))))
-        extra = upper.join(roots.select("node"), "node", "left_anti")
-        roots = roots.select("node", F.col("root").alias("_r")).join(
-            upper.select(F.col("node").alias("_r"), F.col("root").alias("_top")), "_r", "left").select(
-            "node", F.coalesce("_top", "_r").alias("root")).union(extra)
-    return found, roots
+    return rooted.join(several, "cell")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) with more links (a, b) between nodes."""
+    if links.isEmpty():
+        return roots
+    joined = links
+    for side in ("a", "b"):
+        joined = joined.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}")), side, "left")
+    upper = stored(components(joined.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))))
+    extra = upper.join(roots.select("node"), "node", "left_anti")
+    return stored(roots.select("node", F.col("root").alias("_r")).join(
+        upper.select(F.col("node").alias("_r"), F.col("root").alias("_top")), "_r", "left").select(
+        "node", F.coalesce("_top", "_r").alias("root")).union(extra))
 
 
 def _least_ids(found: DataFrame, roots: DataFrame) -> DataFrame:

@@ -10,14 +10,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns_of, id_crc, id_text, table
+from .common import columns_of, id_crc, id_text, in_slices, table
 
 ORDER = 3
 MAX_NODES = 200_000
 MAX_LANGUAGES = 512
 SLACK_BITS = 64
 _SLOT_BITS = 21
-_LETTER = re.compile(r"[^\W\d_]")
+_MARK = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a text has a letter; numbers in circles, fractions and such are none."""
+    return any(m.group().isalpha() for m in _MARK.finditer(text or ""))
 
 
 def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +159,7 @@ class ByteModel:
             n = np.array([max(1, len(t.encode("utf-8", "surrogatepass"))) for t in chunk])
             best = bits.argmin(axis=1) if self.langs else np.zeros(len(chunk), int)
             for t, b, i, m in zip(chunk, bits, best, n, strict=True):
-                if self.langs and _LETTER.search(t):
+                if self.langs and has_letter(t):
                     names.append(self.langs[i])
                     scores.append(float(1 / np.exp2(np.minimum(0, b[i] - b)).sum()))
                     rates.append(float(b[i] / m))
@@ -254,22 +259,24 @@ def keep_identified(docs: DataFrame, model: ByteModel, text_col: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     limits = limits or {}
 
-    def run(batches):
+    # Only the text goes to Python, and a truth value comes back: rows stay where they are.
+    @F.arrow_udf("boolean")
+    def stays(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         frozen = ByteModel.of(shared.value)
-        for batch in batches:
-            if batch.num_rows:
-                texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+        for part in parts:
+            mask: list[bool] = []
+            for texts in in_slices(part):
                 if not frozen.langs:
-                    yield batch.filter(pa.array([bool(_LETTER.search(t or "")) for t in texts], pa.bool_()))
+                    mask += map(has_letter, texts)
                     continue
                 names, scores, rates = frozen.predict(texts)
-                mask = [n != "und" and s >= min_score
-                        and (n not in limits
-                             or (r - limits[n]) * len(t.encode("utf-8", "surrogatepass")) <= SLACK_BITS)
-                        for t, n, s, r in zip(texts, names, scores, rates, strict=True)]
-                yield batch.filter(pa.array(mask, pa.bool_()))
+                mask += [n != "und" and s >= min_score
+                         and (n not in limits
+                              or (r - limits[n]) * len(t.encode("utf-8", "surrogatepass")) <= SLACK_BITS)
+                         for t, n, s, r in zip(texts, names, scores.tolist(), rates.tolist(), strict=True)]
+            yield pa.array(mask, pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(stays(F.col(text_col).cast("string")))
 
 
 def held_out(id_col: str = "doc_id"):

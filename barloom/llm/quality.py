@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, id_text, stored, table
+from .common import columns_of, id_text, in_slices, stored, table
 
 BUCKETS = 1 << 14
 PRIOR = 50.0
@@ -34,12 +34,12 @@ def _bucket_counts(target_ids: frozenset):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
         for ids, texts in columns_of(batches, "doc_id", "text"):
-            own = [_hashes(t) for t in texts]
-            for lo in range(0, len(own), 256):
-                counts[0] += np.bincount(np.concatenate(own[lo:lo + 256]), minlength=BUCKETS)
-            good = [h for i, h in zip(ids, own, strict=True) if i in target_ids]
-            if good:
-                counts[1] += np.bincount(np.concatenate(good), minlength=BUCKETS)
+            for lo in range(0, len(ids), 256):
+                own = [_hashes(t) for t in texts[lo:lo + 256]]
+                counts[0] += np.bincount(np.concatenate(own), minlength=BUCKETS)
+                good = [h for i, h in zip(ids[lo:lo + 256], own, strict=True) if i in target_ids]
+                if good:
+                    counts[1] += np.bincount(np.concatenate(good), minlength=BUCKETS)
         at = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int64()), pa.array(counts[0][at]), pa.array(counts[1][at])],
@@ -147,21 +147,15 @@ def keep_resampled(docs: DataFrame, ratio: np.ndarray, least: float, id_col: str
     """The rows, all columns, whose key is at least `least`; scored again rather than joined,
     so that no text is shuffled."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
-    noise = "_noise"
-    while noise in docs.columns:
-        noise += "_"
-    columns, noisy = docs.columns, docs.withColumn(noise, gumbel(id_col))
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                at = batch.schema.get_field_index
-                lr = [float(shared.value[_hashes(t or "")].sum())
-                      for t in batch.column(at(text_col)).to_pylist()]
-                keys = np.array(lr) + batch.column(at(noise)).to_numpy(zero_copy_only=False)
-                yield batch.select(columns).filter(pa.array(keys >= least))
-
-    return noisy.mapInArrow(run, docs.schema)
+    # Only text and noise go to Python, and a truth value comes back: rows stay where they are.
+    @F.arrow_udf("boolean")
+    def stays(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for part, noise in parts:
+            lr = [float(shared.value[_hashes(t or "")].sum()) for texts in in_slices(part) for t in texts]
+            yield pa.array(np.array(lr) + noise.to_numpy(zero_copy_only=False) >= least, pa.bool_())
+
+    return docs.where(stays(F.col(text_col).cast("string"), gumbel(id_col)))
 
 
 def op9_quality(spark, sf_dir: str) -> DataFrame:

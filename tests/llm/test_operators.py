@@ -94,6 +94,75 @@ def test_keep_one_keeps_unlike_texts_of_null_and_repeated_ids(spark):
         (i, (t or "").lower(), t is None) for i, t in want)
 
 
+def groups_of(texts, n, percent):
+    """Least position of each text's component, by comparing all pairs."""
+    sets = shingle_sets(texts, n)
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def test_jaccard_group_of_near_copies_loses_no_link(spark):
+    # Near copies around the threshold, of two bases, and copies of some of them.
+    rng = random.Random(17)
+    some = []
+    for base in range(2):
+        words_ = [f"b{base}w{i}" for i in range(150)]
+        for _ in range(70):
+            rate = rng.choice([0.005, 0.015, 0.02, 0.03])
+            some.append(" ".join(w if rng.random() > rate else f"x{rng.getrandbits(30)}" for w in words_))
+    some += rng.choices(some, k=40) + ["b0w1 b0w2 b0w3", ""]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(frame(spark, some), 3, 90).collect()}
+    want = groups_of(some, 3, 90)
+    assert [got[i] for i in range(len(some))] == want
+    assert 4 < len(set(want)) < 150
+
+
+def test_jaccard_many_copies_under_a_null_id(spark):
+    rng = random.Random(18)
+    w = [f"w{i}" for i in range(200)]
+    one, two = " ".join(w), " ".join([*w[:199], "z"])
+    rows = [(None, one)] * 600 + [(None, two)] * 600 + [(3, " ".join(rng.sample(w, 150))), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs, 3, 90).collect())
+    assert got == {(None, 198, None): 1200, (3, 148, 3): 1, (None, 0, None): 1}
+
+
+def test_shingles_of_one_set_only_bound_its_links(spark):
+    sets = {1: [1, 2, 3, 4, 5, 6, 7, 8, 9, 10], 2: [1, 2, 3, 4, 5, 6, 7, 8, 9, 20], 3: [1, 2, 3, 4, 5, 31, 32, 33, 34, 35]}
+    df = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>")
+    got = {r["node"]: (r["n"], r["shared"], sum(r["point"])) for r in jaccard.points_of(df, 90).collect()}
+    assert got == {1: (10, 9, 9), 2: (10, 9, 9)}
+    assert {r["node"]: r["shared"] for r in jaccard.points_of(df, 50).collect()} == {1: 9, 2: 9, 3: 5}
+
+
+def test_keep_one_with_clashing_names(spark):
+    rows = [(1, "one two three four five six", 777, 5, "a", True), (2, "one two three four five six", 778, 6, "b", False),
+            (3, None, 779, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key long, _null long, _node string, _blank boolean")
+    got = jaccard.keep_one(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
+
+
+def test_numbers_are_no_letters(spark):
+    docs = frame(spark, ["the river and the stone", "½ ²", "①", "٣", "½ a", None])
+    model = langid.train(docs)
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, model).collect()}
+    assert [got[i] for i in range(6)] == ["en", "und", "und", "und", "en", "und"]
+    assert sorted(r["doc_id"] for r in langid.keep_identified(docs, langid.ByteModel({})).collect()) == [0, 4]
+    assert langid.keep_identified(docs, model).columns == docs.columns
+
+
 def test_jaccard_chains_within_a_cell(spark):
     # Each text differs from the next by one word: linked in a chain, the ends are not.
     rng = random.Random(2)
