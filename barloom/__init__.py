@@ -11,7 +11,7 @@ from barloom.operators.cleaning import (
     valid_ticks,
 )
 from barloom.operators.combine import union_ticks
-from barloom.operators.history import explode_history, history_points, rejected_documents
+from barloom.operators.history import explode_history, explode_long_history, history_points, rejected_documents
 from barloom.operators.metrics import (
     add_metrics,
     lagged_closes,

@@ -56,6 +56,27 @@ def dedup_ticks(ticks: DataFrame, key: Sequence[str] = TICK_KEY) -> DataFrame:
     )
 
 
+# Hash buckets that tick keys are counted by. A bucket is crowded if it has more than one in
+# CROWD of all rows; there are fewer than CROWD such buckets.
+KEY_BUCKETS, CROWD = 4096, 256
+
+
+def key_bucket() -> Column:
+    return F.pmod(F.xxhash64(*TICK_KEY), F.lit(KEY_BUCKETS))
+
+
+def crowded(ticks: DataFrame) -> list[int]:
+    """Hash buckets of tick keys that hold more than a share of 1 / CROWD of the rows.
+
+    A tick with that many copies is in one of them. Reads the two columns of the key and
+    shuffles KEY_BUCKETS counts a task; fewer than CROWD numbers reach the driver.
+    """
+    known = ticks.select(*TICK_KEY).filter(" AND ".join(f"{c} IS NOT NULL" for c in TICK_KEY))
+    counts = known.groupBy(key_bucket().alias("bucket")).count()
+    share = F.col("count") * CROWD > F.sum("count").over(Window.partitionBy(F.lit("all")))
+    return sorted(r["bucket"] for r in counts.withColumn("crowded", share).filter("crowded").collect())
+
+
 def valid_ticks(ticks: DataFrame) -> DataFrame:
     """Complete rows with an instant that has a day and a positive price."""
     return in_range(positive_price(drop_incomplete(ticks)))

@@ -71,6 +71,27 @@ def explode_history(docs: DataFrame) -> DataFrame:
     return ticks.withColumn("datetime", utc_datetime("timestamp")).select(TICKS.names)
 
 
+# Points of a document that one row holds before it is dealt to another task.
+LONG = 100_000
+
+
+def explode_long_history(docs: DataFrame, points: int = LONG) -> DataFrame:
+    """The rows of `explode_history`, for documents with very many points.
+
+    A sound document is cut into ranges of `points` positions, with the volumes and market caps
+    of the same positions; the ranges are dealt to tasks by id and number, one shuffle of the
+    arrays, and exploded there.
+    """
+    prices = pairs("prices")
+    last = F.greatest(F.ceil(F.size(prices) / points), F.lit(1)).cast("int") - 1
+    sound = docs.filter(document_problem(docs).isNull())
+    ranges = sound.select("id", *[pairs(c).alias(c) for c in ("prices", "market_caps", "total_volumes")],
+                          F.explode(F.sequence(F.lit(0), last)).alias("range"))
+    cut = ranges.select("id", "range", *[
+        F.slice(c, F.col("range") * points + 1, points).alias(c) for c in ("prices", "market_caps", "total_volumes")])
+    return explode_history(cut.repartition("id", "range").drop("range"))
+
+
 def explode_with_rejects(docs: DataFrame) -> DataFrame:
     """The rows of `explode_history`, and one row (crypto_id, `problem`) of each unsound document."""
     kind = "array<struct<timestamp: bigint, price: double, volume: double, market_cap: double>>"

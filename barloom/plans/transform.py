@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.time import utc_day
 from barloom.operators.bars import daily_bars, merge_bars, partial_bars, time_slice
-from barloom.operators.cleaning import clean_ticks, dedup_ticks, in_range, valid_ticks
+from barloom.operators.cleaning import clean_ticks, crowded, dedup_ticks, in_range, key_bucket, valid_ticks
 from barloom.operators.metrics import add_metrics
 from barloom.plans.report import RunReport
 from barloom.schema import TICK_KEY
@@ -34,34 +34,13 @@ PREVIEW = ("crypto_id", "date", "close", "ma_7d", "change_1d_pct", "volatility_7
 # be costly to compute twice. "by_bar" is for callers who know their bars.
 LAYOUTS = ("sliced", "spread", "by_bar")
 
-# Hash buckets that tick keys are counted by. A bucket is crowded if it has more than one in
-# CROWD of all rows; there are fewer than CROWD such buckets.
-KEY_BUCKETS, CROWD = 4096, 256
-
-
-def _key_bucket():
-    return F.pmod(F.xxhash64(*TICK_KEY), F.lit(KEY_BUCKETS))
-
-
-def crowded(ticks: DataFrame) -> list[int]:
-    """Hash buckets of tick keys that hold more than a share of 1 / CROWD of the rows.
-
-    A tick with that many copies is in one of them. Reads the two columns of the key and
-    shuffles KEY_BUCKETS counts a task; fewer than CROWD numbers reach the driver.
-    """
-    known = ticks.select(*TICK_KEY).filter(" AND ".join(f"{c} IS NOT NULL" for c in TICK_KEY))
-    counts = known.groupBy(_key_bucket().alias("bucket")).count()
-    share = F.col("count") * CROWD > F.sum("count").over(Window.partitionBy(F.lit("all")))
-    return sorted(r["bucket"] for r in counts.withColumn("crowded", share).filter("crowded").collect())
-
-
 def by_slice(ticks: DataFrame) -> DataFrame:
     """Valid ticks partitioned by (crypto_id, slice), those with very many copies reduced to one a key."""
     ticks = ticks.withColumn("slice", time_slice())
     buckets = crowded(ticks)
     valid = valid_ticks(ticks)
     if buckets:
-        copied = _key_bucket().isin(buckets)
+        copied = key_bucket().isin(buckets)
         valid = valid.filter(~copied).unionByName(dedup_ticks(valid.filter(copied)))
     return valid.repartition("crypto_id", "slice")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.functions.time import utc_day
-from barloom.operators.cleaning import dedup_ticks, in_range
+from barloom.operators.cleaning import crowded, dedup_ticks, in_range, key_bucket
 from barloom.operators.validation import require_contract
 from barloom.schema import MAX_ID_LENGTH, TICK_KEY, TICKS, conform
 
@@ -82,6 +82,22 @@ def without_existing(ticks: DataFrame, table: DataFrame, buckets: int | None = N
     return batch.join(near, key, "left_anti")
 
 
+def by_bucket(batch: DataFrame, buckets: int, raw: DataFrame) -> DataFrame:
+    """The batch with the rows of each bucket in one task, but for ticks with very many copies.
+
+    Those are dealt to all tasks, so their bucket gets several files, which the table's
+    readers put together. They are found in `raw`, of which the columns of the key are read.
+    """
+    place = F.hash(*TICK_KEY)  # what Spark deals rows to buckets by
+    hot = crowded(raw)
+    if hot:
+        copy = F.when(key_bucket().isin(hot), F.monotonically_increasing_id()).otherwise(F.lit(0).cast("long"))
+        batch = batch.withColumn("_place", F.pmod(place + copy, F.lit(buckets)).cast("int"))
+    else:
+        batch = batch.withColumn("_place", F.pmod(place, F.lit(buckets)))
+    return batch.repartitionById(buckets, "_place").drop("_place")
+
+
 def append_ticks(ticks: DataFrame, table: str, on_conflict: str = "append") -> int:
     """Append ticks to a catalog table; returns the number of rows added.
 
@@ -102,7 +118,7 @@ def append_ticks(ticks: DataFrame, table: str, on_conflict: str = "append") -> i
         batch = without_existing(batch, spark.table(table), buckets, raw)
     elif buckets:
         # One file per bucket instead of one per bucket and task.
-        batch = batch.repartition(buckets, *TICK_KEY)
+        batch = by_bucket(batch, buckets, raw)
     seen = Observation()
     out = batch.select(TICKS.names).withColumn(LOADED_AT, F.current_timestamp())
     if by_day:

@@ -23,7 +23,8 @@ HEADLINE = [
     "daily_metrics_by_user", "daily_metrics_by_user_in_place",
     "daily_metrics_by_type", "daily_metrics_by_part", "daily_metrics_by_part_in_place",
     "calendar_metrics_by_part", "explode_history", "restrict_to_top_k", "lookback",
-    "append_skip_existing", "written_bars",
+    "append_skip_existing", "append_skip_existing_bucketed", "append_by_day_skip_existing",
+    "daily_metrics_by_part_sliced", "written_bars",
 ]
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 import barloom as b
 from barloom.functions.time import MS_PER_DAY, epoch_ms, utc_datetime, utc_day
 from barloom.operators.bars import merge_bars, partial_bars
-from barloom.plans.transform import LAYOUTS, by_slice, crowded
+from barloom.operators.cleaning import crowded
+from barloom.plans.transform import LAYOUTS, by_slice
 from barloom.schema import BARS
 from helpers import DAY0, by_day, count_nodes, model_metrics, plan, ticks
 

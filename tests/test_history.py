@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 import barloom as b
 from barloom.functions.pairs import MAX_MS
@@ -130,3 +131,20 @@ def test_null_is_not_a_missing_key(spark, tmp_path):
     assert sorted((r["crypto_id"], r["problem"]) for r in tagged if r["problem"]) == sorted(
         (r["id"], r["reason"]) for r in b.rejected_documents(df).collect())
     assert [tuple(r)[:-1] for r in tagged if not r["problem"]] == [tuple(r) for r in b.explode_history(df).collect()]
+
+
+def test_long_document_is_exploded_by_several_tasks(spark):
+    n = 200_000
+    doc = spark.range(1).select(
+        F.lit("a").alias("id"), *[F.transform(F.sequence(F.lit(1), F.lit(m)), lambda i: F.array(i.cast("double"), i * k)).alias(c)
+                                  for c, m, k in (("prices", n, 2.0), ("market_caps", n + 9, 3.0), ("total_volumes", n - 5, 4.0))])
+    some = doc.unionByName(docs(spark, ("b", [[1.0, 2.0]], None, [[1.0, 5.0]]), ("c", None, None, None), ("d", [[1.0]], None, None)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        long = b.explode_long_history(some, 10_000)
+        tasks = long.filter("crypto_id = 'a'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) > 4 and max(r["count"] for r in tasks) < 0.5 * n
+    whole = b.explode_history(some)
+    assert long.exceptAll(whole).count() == 0 and whole.exceptAll(long).count() == 0

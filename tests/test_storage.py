@@ -16,6 +16,7 @@ from barloom.__main__ import main
 from barloom.functions.time import MS_PER_DAY
 from barloom.plans.ingest import end_of, judged_ticks
 from barloom.schema import METRICS, TICKS, conform
+from barloom.sinks.tables import by_bucket
 from helpers import DAY0, count_nodes, model_metrics, plan, scan_rows, ticks
 
 
@@ -320,6 +321,25 @@ def test_skip_existing_plan(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_copies_of_a_tick_are_dealt_to_several_files_of_a_bucket(spark, tmp_path):
+    n = 3000
+    data = [("copied", DAY0, 1.0)] * n + [(f"s{i % 50}", DAY0 + i, 2.0) for i in range(2 * n)]
+    df = ticks(spark, data).repartition(5)
+    sizes = {r["p"]: r["count"] for r in by_bucket(df, 8, df).groupBy(F.spark_partition_id().alias("p")).count().collect()}
+    assert len(sizes) == 8 and max(sizes.values()) < n / 2 and sum(sizes.values()) == 3 * n
+    name = table_name()
+    b.create_tick_table(spark, name, str(tmp_path / "t"), 8)
+    assert b.append_ticks(df, name) == 3 * n
+    files = [f.name.split("_")[-1].split(".")[0] for f in (tmp_path / "t").glob("*.parquet")]
+    assert 8 < len(files) <= 16 and len(set(files)) == 8  # one bucket in several files
+    assert spark.table(name).filter("crypto_id = 'copied'").count() == n
+    cleaned = b.clean_ticks(spark.table(name))
+    assert count_nodes(cleaned, "Exchange") == 0 and cleaned.count() == 2 * n + 1
+    few = df.filter("crypto_id <> 'copied'")
+    sizes = [r["count"] for r in by_bucket(few, 8, few).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2 * n
+
+
 def test_bucketed_table_is_cleaned_without_a_shuffle(spark, tmp_path):
     name = table_name()
     b.create_tick_table(spark, name, str(tmp_path / "t"), 8)

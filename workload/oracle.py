@@ -267,6 +267,7 @@ ORACLE: dict[str, str] = {
                             AND uid IN (SELECT id FROM top)) AS documents_rejected,
                l AS ticks_refused, n - w - l AS ticks_before, n AS ticks_read FROM counted""",
     "explode_history": _EXPLODED,
+    "explode_long_history": _EXPLODED,
     "history_points": f"""WITH {DOCS}
         SELECT uid AS id, CAST(sum(CASE WHEN k >= 5 THEN 1 ELSE 0 END) AS BIGINT) AS points
         FROM docs GROUP BY uid""",

@@ -221,6 +221,11 @@ def explode_history(spark, sf):
     return b.explode_history(a.histories(spark, sf)).select(*TICK)
 
 
+@_query
+def explode_long_history(spark, sf):
+    return b.explode_long_history(a.histories(spark, sf), 30).select(*TICK)
+
+
 @_query
 def history_points(spark, sf):
     return b.history_points(a.histories(spark, sf))
