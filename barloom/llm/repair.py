@@ -207,6 +207,8 @@ def damaged(convs: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
             text_col: str = "text") -> DataFrame:
     """Rows (conv, turn, role, text, gone): conv is the id as text, one space if it is null.
 
+    Null turns, roles and texts are one space as well (a null turn stays null for the order).
+    Repeated rows stay rows of their own, and other columns are left out.
     By crc32 of `conv:turn` modulo 20 a row goes (it stays with `gone`, so that its
     conversation is known), or its text goes, or its sentence ends, or it occurs twice, or its role is user.
     """
@@ -432,7 +434,8 @@ def repair_conversations(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
     rows: (conv, turn, role, text, gone), as `damaged` gives them; conversations whose rows are
     all gone have zeros, an empty audit and the empty text's digest. Turns are ordered by
-    number, null first, those of one number by role and a digest of the text.
+    number, null first, those of one number by role and a digest of the text. Empty and very
+    long texts are texts like others; an empty table gives an empty result.
 
     Rows are dealt in ranges of (conversation, turn), so a conversation of any length spreads
     over tasks. Conversations within a range are repaired there, in chunks of `chunk` turns.
