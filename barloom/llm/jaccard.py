@@ -6,12 +6,15 @@ upper corners of two boxes) bounds the overlap of their sets from above.
 
 The tree, from the root:
 
-1. Cells. Two linked sets share one of their first shingles in any order that is the same
-   for all sets, if each shows as many as it may lack of the other, plus one. A set enters
-   the cells of those. The order is by the rarest word of a shingle: by counters of word
-   hashes over all documents, which are never less than the number of documents that have
-   the shingle. So a common passage opens no cell in documents that have anything rarer.
-   The counters steer the order, not the result.
+1. Cells. A set's shingles are dealt to groups by hash, to more groups than the set and one it
+   links to can have shingles that differ. What a group holds is a piece; the two sets differ in
+   no more pieces than in shingles, so they share one of their first pieces in any order that is
+   the same for all sets, if each shows as many as may differ, plus one. A set enters the cells
+   of those. A piece has several shingles, so texts that share one only, or a passage, seldom
+   meet. The order is by the rarest word of a piece: by counters of word hashes over all
+   documents, which are never less than the number of documents that have the piece. The
+   counters steer the order, not the result. The number of groups goes by bands of size
+   (`bands`); a set that may link to smaller ones of the band before enters cells of both.
 2. Boxes. The sets of a cell are cut into boxes of near points, of a bounded number of sets
    each, and box pairs of one cell are joined where the corners' bound allows a link.
 3. Points. Pairs of sets that pass the points' bound are verified on their shingles.
@@ -28,6 +31,7 @@ typical one. Equal sets are one node throughout, so copies cost a row each and n
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +46,8 @@ from .common import columns_of, id_text, stored, table, words_of
 GROUPS = 64
 COUNTERS = 1 << 20
 BOX_SETS = 128
+MAX_SHINGLES = 1 << 40
+_SEEN = 1 << 18
 FILTER_BITS = 1 << 24
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -70,19 +76,66 @@ def shingles(text: str, n: int) -> np.ndarray:
     return np.unique(_ngrams(h, n)) if len(h) else h
 
 
-def set_and_cells(text: str, n: int, percent: int, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A text's shingles, and its cells: its first shingles by the count of their rarest word."""
+def differing(size: int, percent: int) -> int:
+    """The most shingles that are in one only of a set of this size and another that it links to."""
+    return size * (100 - percent) // percent
+
+
+def bands(percent: int) -> tuple[list[int], list[int]]:
+    """Bounds of the bands of sizes, and the number of groups of each: band i holds the sizes from
+    bounds[i] up to, but not including, bounds[i + 1].
+
+    A set links to sets of its own band and of the next ones to it only. Smaller sets than
+    bounds[0] link to equal ones only.
+    """
+    bounds = [-(-percent // max(100 - percent, 1))]
+    while bounds[-1] < MAX_SHINGLES:
+        bounds.append(max(bounds[-1] * 3 // 2, bounds[-1] * 100 // percent + 1))
+    most = [differing(b - 1, percent) + 1 for b in bounds[1:]]
+    return bounds, [m + max(1, m // 5) for m in most]
+
+
+def _pieces(found: np.ndarray, rarest: np.ndarray, groups: int, shown: int) -> np.ndarray:
+    """Hashes of the first `shown` pieces of a set's shingles that are dealt to `groups` groups."""
+    deal = _mixed(found, _M1)
+    of = ((deal >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    held = np.bincount(of, minlength=groups)
+    ends = np.cumsum(held)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mixed(deal, _M2)[order], dtype=np.uint64)))
+    key = np.arange(groups, dtype=np.uint64) + (np.uint64(groups) << np.uint64(32))
+    key = _mixed(_mixed(key, _M1) + sums[ends] - sums[ends - held], _M2)
+    least = np.full(groups, 1 << 32, np.int64)
+    full = np.flatnonzero(held)
+    least[full] = np.minimum.reduceat(rarest[order], (ends - held)[full])
+    return key[np.lexsort((key, -held, least))[:shown]]
+
+
+def set_and_cells(text: str, n: int, percent: int, counts: np.ndarray,
+                  of_size: tuple[list[int], list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """A text's shingles, and its cells: its first pieces by the count of their rarest word, in the
+    groups of its band and, if a set of the band before may link to it, of that one."""
     h = _word_hashes(text)
     if not len(h):
         return h, h
     found, first = np.unique(_ngrams(h, n), return_index=True)
+    bounds, groups = of_size
+    size = len(found)
+    band = bisect_right(bounds, size) - 1
+    if band < 0:
+        return found, found[:0]
     of = counts[(h & np.uint64(COUNTERS - 1)).astype(np.int64)]
-    size = min(n, len(h))
-    rarest = of[:len(h) - size + 1]
-    for i in range(1, size):
-        rarest = np.minimum(rarest, of[i:len(h) - size + 1 + i])
-    shown = len(found) + (-len(found) * percent) // 100 + 1
-    return found, found[np.argsort(rarest[first], kind="stable")[:shown]]
+    words = min(n, len(h))
+    rarest = of[:len(h) - words + 1]
+    for i in range(1, words):
+        rarest = np.minimum(rarest, of[i:len(h) - words + 1 + i])
+    rarest = rarest[first].astype(np.int64)
+    cells = _pieces(found, rarest, groups[band], differing(size, percent) + 1)
+    if band and size * percent <= (bounds[band] - 1) * 100:
+        # of a pair, the smaller set bounds what differs
+        cells = np.concatenate((cells, _pieces(found, rarest, groups[band - 1],
+                                               differing(bounds[band] - 1, percent) + 1)))
+    return found, cells
 
 
 def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,16 +185,24 @@ def _longs(a: np.ndarray) -> list[int]:
 
 
 def _sets(n: int, percent: int, counts):
-    """Rows (doc_id, node, n_shingles, cells); an empty set has a null node and no cells."""
+    """Rows (doc_id, node, n_shingles, cells); an empty set has a null node and no cells. Of equal
+    sets that a task meets, the first has the cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_size, seen = bands(percent), set()
         for ids, texts in columns_of(batches, "doc_id", "text"):
             for at in range(0, len(ids), 512):
-                both = [set_and_cells(t, n, percent, counts.value) for t in texts[at:at + 512]]
+                nodes, sizes, cells = [], [], []
+                for t in texts[at:at + 512]:
+                    s, c = set_and_cells(t, n, percent, counts.value, of_size)
+                    nodes.append(_digest(s) if len(s) else None)
+                    sizes.append(len(s))
+                    cells.append(None if nodes[-1] in seen else _longs(c))
+                    seen.add(nodes[-1])
+                if len(seen) > _SEEN:
+                    seen.clear()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[at:at + 512], pa.int64()),
-                    pa.array([_digest(s) if len(s) else None for s, _ in both], pa.int64()),
-                    pa.array([len(s) for s, _ in both], pa.int64()),
-                    pa.array([_longs(c) for _, c in both], pa.list_(pa.int64()))],
+                    pa.array(ids[at:at + 512], pa.int64()), pa.array(nodes, pa.int64()),
+                    pa.array(sizes, pa.int64()), pa.array(cells, pa.list_(pa.int64()))],
                     ["doc_id", "node", "n_shingles", "cells"])
     return run
 
@@ -352,7 +413,8 @@ def _found_and_roots(texts: DataFrame, n: int, percent: int) -> tuple[DataFrame,
     counts = spark.sparkContext.broadcast(word_counts(texts))
     found = stored(texts.mapInArrow(
         _sets(n, percent, counts), "doc_id long, node long, n_shingles long, cells array<long>"))
-    members = found.where("node is not null").select(F.explode("cells").alias("cell"), "node")
+    # dealt once: the cells are counted and joined where their rows lie
+    members = found.where("node is not null").select(F.explode("cells").alias("cell"), "node").repartition("cell")
     shared = members.groupBy("cell").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(
         "first <> last").select("cell", F.col("first").alias("centre"))
     members = stored(members.join(shared, "cell").distinct())

@@ -5,10 +5,12 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -138,6 +140,41 @@ def test_jaccard_many_copies_under_a_null_id(spark):
     assert got == {(None, 198, None): 1200, (3, 148, 3): 1, (None, 0, None): 1}
 
 
+def cells_of(some, n, percent):
+    counts = np.zeros(jaccard.COUNTERS, np.uint32)
+    for t in some:
+        np.add.at(counts, (jaccard._word_hashes(t) & np.uint64(jaccard.COUNTERS - 1)).astype(np.int64), 1)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(some))), "text": some})
+    out = [r for b in jaccard._sets(n, percent, SimpleNamespace(value=counts))([batch]) for r in b.to_pylist()]
+    return [set(r["cells"] or ()) for r in out]
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_cells_hold_links_but_not_texts_with_a_passage_in_common(n, percent):
+    rng = random.Random(19)
+    some = []
+    for size in (12, 20, 45, 70, 150, 151, 400):
+        for _ in range(12):
+            base = [f"v{rng.getrandbits(40)}" for _ in range(size)]
+            for cut in (0, 0, size // 30, size // 12):
+                at = rng.randrange(size)
+                some.append(" ".join(base[:at] + base[at + cut:] + [f"e{rng.getrandbits(40)}"] * rng.randrange(2)))
+    some = list(dict.fromkeys(some))  # of equal sets the first has the cells
+    cells, sets = cells_of(some, n, percent), shingle_sets(some, n)
+    linked = [(i, j) for i in range(len(some)) for j in range(i) if sets[i] != sets[j]
+              and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    assert len(linked) > 100 and all(cells[i] & cells[j] for i, j in linked)
+
+    # two texts with a rare passage of their own among common words
+    common = [f"c{i}" for i in range(60)]
+    pairs = []
+    for p in range(40):
+        passage = [f"p{p}x{i}" for i in range(6)]
+        pairs += [" ".join(rng.choices(common, k=75) + passage + rng.choices(common, k=75)) for _ in range(2)]
+    cells = cells_of(pairs, n, percent)
+    assert sum(bool(cells[i] & cells[i + 1]) for i in range(0, len(pairs), 2)) <= len(pairs) // 8
+
+
 def test_shingles_of_one_set_only_bound_its_links(spark):
     sets = {1: [1, 2, 3, 4, 5, 6, 7, 8, 9, 10], 2: [1, 2, 3, 4, 5, 6, 7, 8, 9, 20], 3: [1, 2, 3, 4, 5, 31, 32, 33, 34, 35]}
     df = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>")
