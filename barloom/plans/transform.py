@@ -34,6 +34,17 @@ PREVIEW = ("crypto_id", "date", "close", "ma_7d", "change_1d_pct", "volatility_7
 # be costly to compute twice. "by_bar" is for callers who know their bars.
 LAYOUTS = ("sliced", "spread", "by_bar")
 
+
+def _dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Partitioned by the keys, to the session's number of shuffle partitions.
+
+    As the number is given, adaptive execution puts no partitions together. It would go by
+    compressed bytes, and a tick of a sparse series, its sort and its state take some forty
+    times those of a task's memory.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def by_slice(ticks: DataFrame) -> DataFrame:
     """Valid ticks partitioned by (crypto_id, slice), those with very many copies reduced to one a key."""
     ticks = ticks.withColumn("slice", time_slice())
@@ -42,7 +53,7 @@ def by_slice(ticks: DataFrame) -> DataFrame:
     if buckets:
         copied = key_bucket().isin(buckets)
         valid = valid.filter(~copied).unionByName(dedup_ticks(valid.filter(copied)))
-    return valid.repartition("crypto_id", "slice")
+    return _dealt(valid, "crypto_id", "slice")
 
 
 def densest_bar(ticks: DataFrame) -> DataFrame:
@@ -67,7 +78,7 @@ def clean_bars(ticks: DataFrame, layout: str = "spread") -> DataFrame:
         return daily_bars(clean_ticks(needed))
     if layout == "sliced":
         states = partial_bars(dedup_ticks(by_slice(needed), (*TICK_KEY, "slice")))
-        return merge_bars(states.repartition("crypto_id"))
+        return merge_bars(_dealt(states, "crypto_id"))
     dated = valid_ticks(needed).withColumn("date", utc_day("timestamp"))
     in_place = dated.repartition("crypto_id", "date")
     return daily_bars(dedup_ticks(in_place, ("crypto_id", "date", "timestamp")))

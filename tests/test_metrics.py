@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import barloom as b
 from helpers import by_day, closes, count_nodes, half_up, plan
+import pytest
+from barloom.plans.transform import clean_bars
 
 
 def test_single_bar(spark):
@@ -73,3 +75,13 @@ def test_one_window_one_shuffle(spark):
         assert count_nodes(m, "Exchange") == 1
         assert count_nodes(m, "Sort") == 1
         assert "Python" not in plan(m)
+
+
+@pytest.mark.parametrize("layout", ["sliced"])
+def test_small_partitions_of_ticks_are_not_put_together(spark, layout):
+    # Adaptive execution would make one task of these few bytes, and of as many again on large tables.
+    ticks = spark.range(4000).selectExpr(
+        "id * 3600000 AS timestamp", "string(id % 50) AS crypto_id", "double(id % 7 + 1) AS price",
+        "1D AS volume", "2D AS market_cap")
+    bars = clean_bars(ticks, layout)
+    assert bars.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
