@@ -80,7 +80,7 @@ def clean_bars(ticks: DataFrame, layout: str = "spread") -> DataFrame:
         states = partial_bars(dedup_ticks(by_slice(needed), (*TICK_KEY, "slice")))
         return merge_bars(_dealt(states, "crypto_id"))
     dated = valid_ticks(needed).withColumn("date", utc_day("timestamp"))
-    in_place = dated.repartition("crypto_id", "date")
+    in_place = _dealt(dated, "crypto_id", "date")
     return daily_bars(dedup_ticks(in_place, ("crypto_id", "date", "timestamp")))
 
 

@@ -77,7 +77,7 @@ def test_one_window_one_shuffle(spark):
         assert "Python" not in plan(m)
 
 
-@pytest.mark.parametrize("layout", ["sliced"])
+@pytest.mark.parametrize("layout", ["sliced", "by_bar"])
 def test_small_partitions_of_ticks_are_not_put_together(spark, layout):
     # Adaptive execution would make one task of these few bytes, and of as many again on large tables.
     ticks = spark.range(4000).selectExpr(
