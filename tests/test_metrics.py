@@ -1,9 +1,10 @@
 from __future__ import annotations
 
-import barloom as b
-from helpers import by_day, closes, count_nodes, half_up, plan
 import pytest
+
+import barloom as b
 from barloom.plans.transform import clean_bars
+from helpers import by_day, closes, count_nodes, half_up, plan
 
 
 def test_single_bar(spark):
