@@ -49,10 +49,13 @@ def id_crc(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
 
 
-def columns_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[list, ...]]:
+def columns_of(batches: Iterator[pa.RecordBatch], *names: str, rows: int | None = None) -> Iterator[tuple[list, ...]]:
+    """The columns' values of each batch; `rows` rows at a time, as a batch of texts takes several
+    times its size as Python objects."""
     for batch in batches:
-        if batch.num_rows:
-            yield tuple(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
+        for at in range(0, batch.num_rows, rows or max(1, batch.num_rows)):
+            part = batch.slice(at, rows)
+            yield tuple(part.column(part.schema.get_field_index(n)).to_pylist() for n in names)
 
 
 def in_slices(column: pa.Array, rows: int = 512) -> Iterator[list]:

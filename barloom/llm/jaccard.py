@@ -141,10 +141,9 @@ def set_and_cells(text: str, n: int, percent: int, counts: np.ndarray,
 def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Parts (part, counts) of a task's counters of word hashes."""
     counts = np.zeros(COUNTERS, np.int64)
-    for (texts,) in columns_of(batches, "text"):
-        for at in range(0, len(texts), 512):
-            h = np.concatenate([_word_hashes(t) for t in texts[at:at + 512]])
-            counts += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+    for (texts,) in columns_of(batches, "text", rows=512):
+        h = np.concatenate([_word_hashes(t) for t in texts])
+        counts += np.bincount((h & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
     parts = counts.astype(np.uint32).reshape(-1, 1 << 14)
     yield pa.RecordBatch.from_arrays(
         [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
@@ -189,21 +188,20 @@ def _sets(n: int, percent: int, counts):
     sets that a task meets, the first has the cells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of_size, seen = bands(percent), set()
-        for ids, texts in columns_of(batches, "doc_id", "text"):
-            for at in range(0, len(ids), 512):
-                nodes, sizes, cells = [], [], []
-                for t in texts[at:at + 512]:
-                    s, c = set_and_cells(t, n, percent, counts.value, of_size)
-                    nodes.append(_digest(s) if len(s) else None)
-                    sizes.append(len(s))
-                    cells.append(None if nodes[-1] in seen else _longs(c))
-                    seen.add(nodes[-1])
-                if len(seen) > _SEEN:
-                    seen.clear()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids[at:at + 512], pa.int64()), pa.array(nodes, pa.int64()),
-                    pa.array(sizes, pa.int64()), pa.array(cells, pa.list_(pa.int64()))],
-                    ["doc_id", "node", "n_shingles", "cells"])
+        for ids, texts in columns_of(batches, "doc_id", "text", rows=512):
+            nodes, sizes, cells = [], [], []
+            for t in texts:
+                s, c = set_and_cells(t, n, percent, counts.value, of_size)
+                nodes.append(_digest(s) if len(s) else None)
+                sizes.append(len(s))
+                cells.append(None if nodes[-1] in seen else _longs(c))
+                seen.add(nodes[-1])
+            if len(seen) > _SEEN:
+                seen.clear()
+            yield pa.RecordBatch.from_arrays([
+                pa.array(ids, pa.int64()), pa.array(nodes, pa.int64()),
+                pa.array(sizes, pa.int64()), pa.array(cells, pa.list_(pa.int64()))],
+                ["doc_id", "node", "n_shingles", "cells"])
     return run
 
 
@@ -211,7 +209,7 @@ def _wanted(n: int, bitmap, column: str):
     """Rows (node, n, point) or (node, shingles) of the texts whose slot the bitmap may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = bitmap.value
-        for slots, texts in columns_of(batches, "slot", "text"):
+        for slots, texts in columns_of(batches, "slot", "text", rows=512):
             own = [t for i, t in zip(slots, texts, strict=True) if bits[i >> 3] >> (i & 7) & 1]
             for at in range(0, len(own), 256):
                 sets = [s for t in own[at:at + 256] if len(s := shingles(t, n))]

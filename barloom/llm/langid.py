@@ -59,7 +59,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array([lang] * len(keys)), pa.array(keys.astype(np.int64)), pa.array(n)],
                 ["lang", "gram", "n"])
 
-    for langs, texts in columns_of(batches, "lang", "text"):
+    for langs, texts in columns_of(batches, "lang", "text", rows=512):
         by: dict[str, list[str]] = {}
         for lang, text in zip(langs, texts, strict=True):
             by.setdefault(lang, []).append(text)
@@ -218,7 +218,7 @@ def identify(docs: DataFrame, model: ByteModel, id_col: str = "doc_id", text_col
 
     def run(batches):
         frozen = ByteModel.of(shared.value)
-        for ids, texts in columns_of(batches, "doc_id", "text"):
+        for ids, texts in columns_of(batches, "doc_id", "text", rows=512):
             names, scores, rates = frozen.predict(texts)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(names, pa.string()),
@@ -236,7 +236,7 @@ def rate_limits(docs: DataFrame, model: ByteModel, text_col: str = "text", lang_
 
     def run(batches):
         frozen = ByteModel.of(shared.value)
-        for langs, texts in columns_of(batches, "lang", "text"):
+        for langs, texts in columns_of(batches, "lang", "text", rows=512):
             names, _, rates = frozen.predict(texts)
             own = [i for i, (a, b) in enumerate(zip(langs, names, strict=True)) if a == b]
             yield pa.RecordBatch.from_arrays(

@@ -13,12 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns_of, id_text, stored, table, worker_cache
+from .common import columns_of, id_text, stored, table
 
 CAPACITY = 1024
 END = 2
 STEP = 0.25
-_CACHE = 1 << 20
+_CACHE = 1 << 18  # pre-tokens, some 40 MB
 _NEWLINE = "\n"
 # Texts of these characters only are cut by Python; any other text by the tokenizer itself.
 _PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-ſ]*")
@@ -88,13 +88,9 @@ def _pieces(definition, capacity: int, end: int):
     last = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = worker_cache("packing")
-        text = definition.value
-        if text not in held:
-            held.clear()
-            held[text] = Ids(text)
-        encoder = held[text]
-        for ids, texts in columns_of(batches, "doc_id", "text"):
+        # goes with the task: workers live on, and other stages need their memory
+        encoder = Ids(definition.value)
+        for ids, texts in columns_of(batches, "doc_id", "text", rows=512):
             out: tuple[list, ...] = ([], [], [], [], [])
             for i, t in zip(ids, texts, strict=True):
                 b = encoder.of(t) + last
@@ -231,8 +227,10 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, i
     parts = stored(parts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))))
     histogram = parts.groupBy("length").agg(F.sum("n").alias("n")).toArrow()
     found = configurations(histogram.column("length").to_numpy(), histogram.column("n").to_numpy(), capacity)
-    slots = F.broadcast(spark.createDataFrame(
-        _slots(found), "length long, first long, each long, sequence long, sequences long, at long"))
+    # from Arrow, as rows of Python objects would start a second set of Python workers
+    names = ["length", "first", "each", "sequence", "sequences", "at"]
+    columns = np.array(_slots(found), np.int64).reshape(-1, len(names)).T
+    slots = F.broadcast(spark.createDataFrame(pa.table([pa.array(c) for c in columns], names)))
     own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     ranked = salted.withColumn("own", F.row_number().over(own) - 1).join(
         parts.drop("n"), ["length", "salt"]).withColumn("rank", F.col("before") + F.col("own"))

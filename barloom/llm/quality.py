@@ -33,13 +33,12 @@ def _hashes(text: str) -> np.ndarray:
 def _bucket_counts(target_ids: frozenset):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS), np.int64)
-        for ids, texts in columns_of(batches, "doc_id", "text"):
-            for lo in range(0, len(ids), 256):
-                own = [_hashes(t) for t in texts[lo:lo + 256]]
-                counts[0] += np.bincount(np.concatenate(own), minlength=BUCKETS)
-                good = [h for i, h in zip(ids[lo:lo + 256], own, strict=True) if i in target_ids]
-                if good:
-                    counts[1] += np.bincount(np.concatenate(good), minlength=BUCKETS)
+        for ids, texts in columns_of(batches, "doc_id", "text", rows=256):
+            own = [_hashes(t) for t in texts]
+            counts[0] += np.bincount(np.concatenate(own), minlength=BUCKETS)
+            good = [h for i, h in zip(ids, own, strict=True) if i in target_ids]
+            if good:
+                counts[1] += np.bincount(np.concatenate(good), minlength=BUCKETS)
         at = np.flatnonzero(counts[0])
         yield pa.RecordBatch.from_arrays(
             [pa.array(at, pa.int64()), pa.array(counts[0][at]), pa.array(counts[1][at])],
@@ -92,7 +91,7 @@ def log_ratios(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
-        for ids, texts in columns_of(batches, "doc_id", "text"):
+        for ids, texts in columns_of(batches, "doc_id", "text", rows=512):
             lr = [float(shared.value[_hashes(t)].sum()) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(lr, pa.float64())], ["doc_id", "log_ratio"])

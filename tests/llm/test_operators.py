@@ -229,6 +229,41 @@ def test_token_counts_without_frequent_tokens(spark, texts, monkeypatch):
     assert sorted(map(tuple, tokencount.count_tokens(frame(spark, texts), path).collect())) == want
 
 
+def test_packing_leaves_nothing_in_the_worker():
+    import gc
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path) as f:
+        run = packing._pieces(SimpleNamespace(value=f.read()), 1024, 2)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(2000), pa.int64()), pa.array([f"word {i} of many" for i in range(2000)])], ["doc_id", "text"])
+    out = list(run(iter([batch])))
+    assert max(b.num_rows for b in out) <= 512
+    assert [i for b in out for i in b.column(0).to_pylist()] == list(range(2000))
+    del run
+    gc.collect()
+    assert not [x for x in gc.get_objects() if isinstance(x, packing.Ids)]
+
+
+def test_packing_starts_no_python_workers_for_its_slots(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    docs = spark.sql("select id as doc_id, repeat('word ', cast(id as int)) as text from range(50)")
+    monkeypatch.setattr(SparkContext, "parallelize", None)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.pack(docs, path).count() == 50
+    assert packing.pack(docs.limit(0), path).count() == 0
+
+
+def test_texts_are_taken_in_slices():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1300)), pa.array(["a b"] * 1300)], ["doc_id", "text"])
+    empty = batch.slice(0, 0)
+    from barloom.llm.common import columns_of
+
+    assert [len(t) for _, t in columns_of(iter([batch, empty]), "doc_id", "text", rows=512)] == [512, 512, 276]
+    assert [len(t) for (t,) in columns_of(iter([empty, batch]), "text")] == [1300]
+
+
 def test_packing_round_trip(spark, texts):
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
