@@ -18,7 +18,7 @@ from .common import columns_of, id_text, stored, table
 CAPACITY = 1024
 END = 2
 STEP = 0.25
-_CACHE = 1 << 18  # pre-tokens, some 40 MB
+_CACHE = 1 << 19  # pre-tokens, some 80 MB
 _NEWLINE = "\n"
 # Texts of these characters only are cut by Python; any other text by the tokenizer itself.
 _PLAIN = re.compile(r"[\t-\r\x20-\x7e¡-ſ]*")
